@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlab.functions.colstats import column_stats, modes
-from cohortlab.operators.relational import NUMERIC_TYPES, distinct_counts, null_stats
+from cohortlab.operators.relational import INTEGRAL_TYPES, NUMERIC_TYPES, distinct_counts, null_stats
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, int]:
@@ -123,9 +123,11 @@ def fit_mean_mode(df: DataFrame, truncate: bool = False,
     types = {f.name: f.dataType for f in df.schema.fields}
     num = [c for c in cols if isinstance(types[c], NUMERIC_TYPES)]
     oth = [c for c in cols if c not in num]
-    st = column_stats(df, num, ["mean"]) if num else {}
+    st = column_stats(df, num, ["mean", "n_null"]) if num else {}
     values: dict[str, object] = {}
     for c in num:
+        if st[c]["n_null"] == 0 and isinstance(types[c], INTEGRAL_TYPES):
+            continue  # null-free integral columns keep their type (pandas fillna)
         m = st[c]["mean"]
         values[c] = (int(m) if truncate else m) if m is not None else None
     values.update(modes(df, oth))

@@ -228,7 +228,7 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     """
     cols = list(cols or df.columns)
     pairs = (to_long(df, cols).where(F.col("value").isNotNull())
-             .groupBy("column", "value").agg())
+             .select("column", "value").distinct())
     counts = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
     return (names.join(counts, "column", "left")
@@ -337,9 +337,13 @@ def with_row_index(df: DataFrame, order_by: Sequence, name: str = "index",
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _order_cols(order_by)
-    staged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-                .withColumn("__pid", F.spark_partition_id())
-                .withColumn("__mid", F.monotonically_increasing_id()))
+    from cohortlab.session import checkpointed
+    # Materialised once (reliable checkpoint in the shared folder): the
+    # counts and the final numbering must see the same partitioning, and a
+    # lost executor must not re-sample the range bounds.
+    staged = checkpointed(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                          .withColumn("__pid", F.spark_partition_id())
+                          .withColumn("__mid", F.monotonically_increasing_id()))
     counts = {r["__pid"]: r["n"] for r in
               staged.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, acc = [], 0
@@ -412,9 +416,10 @@ def cumulative_sums(df: DataFrame, group: str, order: Sequence[str], sums: Seque
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = (df.repartitionByRange(n, F.col(group).asc_nulls_last(),
-                                    *[F.col(c).asc_nulls_last() for c in order])
-                .withColumn("__pid", F.spark_partition_id()))
+    from cohortlab.session import checkpointed
+    staged = checkpointed(df.repartitionByRange(n, F.col(group).asc_nulls_last(),
+                                                *[F.col(c).asc_nulls_last() for c in order])
+                            .withColumn("__pid", F.spark_partition_id()))
     w = (Window.partitionBy("__pid", group).orderBy(*[F.col(c).asc_nulls_last() for c in order])
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = staged.select("*", *[F.sum(s).over(w).alias(f"__l_{s}") for s in sums])
