@@ -56,15 +56,16 @@ gappy AS (
 
 
 def cohort_people(spark: SparkSession, d: str) -> DataFrame:
-    """Participants: one row per customer with an 'age' in [20, 90) derived from
+    """Participants: one row per customer with an "age" in [30, 85) peaking near 57 derived from
     the balance and the segment as cohort label."""
     c = table(spark, d, "customer")
-    age = F.lit(20.0) + (F.col("c_acctbal") + 1000.0) * 70.0 / 11000.0
+    age = (F.lit(30.0) + (F.col("c_acctbal") + 1000.0) * 40.0 / 11000.0
+           + (F.col("c_custkey") % 11).cast("double") * 1.5)
     return c.select("c_custkey", "c_nationkey", "c_mktsegment", age.alias("age"))
 
 
 COHORT_PEOPLE_SQL = """
 people AS (
   SELECT c_custkey, c_nationkey, c_mktsegment,
-         20.0 + (c_acctbal + 1000.0) * 70.0 / 11000.0 AS age
+         30.0 + (c_acctbal + 1000.0) * 40.0 / 11000.0 + CAST(c_custkey % 11 AS DOUBLE) * 1.5 AS age
   FROM customer)"""
