@@ -31,7 +31,7 @@ def validate(df: DataFrame, required: Sequence[str] = (), raise_on_fail: bool =
         for name, ok, detail in checks:
             if not ok:
                 raise ValueError(f"validation failed: {name}: {detail}")
-    return df.sparkSession.createDataFrame(checks, "check string, passed boolean, detail string")
+    return df.sparkSession.createDataFrame(checks, "check_name string, passed boolean, detail string")
 
 
 def require(**inputs) -> None:
