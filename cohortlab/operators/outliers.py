@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,9 +107,6 @@ def isolation_scores(df: DataFrame, column: str, n_trees: int = 100, sample_size
     the algorithm's own sub-sampling, Liu et al. 2008), broadcast, and every
     row is scored in a vectorised pandas UDF. Output adds ``__score``.
     """
-    import numpy as np
-    import pandas as pd
-
     spark = df.sparkSession
     x = F.col(column).cast("double")
     n = df.where(x.isNotNull()).count()
