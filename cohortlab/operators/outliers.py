@@ -47,7 +47,10 @@ def clip_to_median(df: DataFrame, columns: Sequence[str] | None = None, method:
             keep = (x >= s["q0.25"] - 1.5 * iqr) & (x <= s["q0.75"] + 1.5 * iqr)
         else:
             raise ValueError(f"unknown method {method}")
-        exprs[c] = F.when(F.coalesce(keep, F.lit(False)), x).otherwise(F.lit(med).cast(df.schema[c].dataType))
+        t = df.schema[c].dataType
+        if t.typeName() in ("integer", "long", "short", "byte") and not float(med).is_integer():
+            x, t = x.cast("double"), None  # pandas upcasts an int column receiving a .5 median
+        exprs[c] = F.when(F.coalesce(keep, F.lit(False)), x).otherwise(F.lit(med) if t is None else F.lit(med).cast(t))
     return df.withColumns(exprs)
 
 

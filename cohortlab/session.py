@@ -49,7 +49,7 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
-    sub = name or uuid.uuid4().hex
+    sub = f"{name}-{uuid.uuid4().hex[:12]}" if name else uuid.uuid4().hex  # never shared between runs
     return os.path.join(base.rstrip("/"), sub) if "://" not in base else base.rstrip("/") + "/" + sub
 
 
