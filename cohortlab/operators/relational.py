@@ -227,9 +227,21 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     All-null columns still appear with 0.
     """
     cols = list(cols or df.columns)
-    pairs = (to_long(df, cols).where(F.col("value").isNotNull())
-             .select("column", "value").distinct())
-    counts = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    # Unpivot per type family so values keep a native type (no costly cast
+    # to text, and longs never collapse through a double).
+    families: dict[str, list[str]] = {}
+    for c in cols:
+        t = types[c]
+        fam = ("long" if isinstance(t, INTEGRAL_TYPES) else "double" if isinstance(t, NUMERIC_TYPES)
+               else "boolean" if isinstance(t, T.BooleanType) else "string")
+        families.setdefault(fam, []).append(c)
+    counts = None
+    for fam, group in families.items():
+        pairs = (to_long(df, group, fam).where(F.col("value").isNotNull())
+                 .select("column", "value").distinct())
+        part = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+        counts = part if counts is None else counts.unionByName(part)
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
     return (names.join(counts, "column", "left")
                  .select("column", F.coalesce("n_unique", F.lit(0)).cast("long").alias("n_unique")))
