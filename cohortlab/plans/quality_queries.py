@@ -175,8 +175,8 @@ SENSITIVE = ["status_F", "status_O", "age"]
 
 def predictions(spark, d):
     li = table(spark, d, "lineitem")
-    lo = li.agg(F.min("l_quantity")).scalar()  # scalar subqueries: no driver round trip
-    hi = li.agg(F.max("l_quantity")).scalar()
+    s = li.agg(F.min("l_quantity").alias("lo"), F.max("l_quantity").alias("hi")).first()  # one row
+    lo, hi = s["lo"], s["hi"]
     m = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.lit(a).alias("t1"), F.lit(b).alias("t2"))
                             for n, a, b in MODELS])).alias("m")
     x = li.select("*", m)
