@@ -10,8 +10,8 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm import chat_format, line_dedup, piece_bpe
-from cohortlab.llm.common import table
+from cohortlab.llm import chat_format, decontaminate, line_dedup, piece_bpe, quality, simhash
+from cohortlab.llm.common import labelled, remainder, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -96,3 +96,26 @@ def encoded(docs: DataFrame) -> DataFrame:
 @register("op8_piece_encode")
 def op8(spark: SparkSession, d: str) -> DataFrame:
     return encoded(table(spark, d, "documents"))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Quality of every document; the labels of those with remainder 1 are held out."""
+    train = labelled(labels, "quality").where(remainder(F.col("doc_id"), 3) != 1)
+    return quality.classify(docs.select("doc_id", "text"), train)
+
+
+@register("op3_quality_classifier")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    out = quality_scores(table(spark, d, "documents"), table(spark, d, "labels"))
+    return out.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@register("op9_simhash_near_dedup")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    out = simhash.near_dedup(table(spark, d, "documents").select("doc_id", "text"), shingle=4, radius=4)
+    return out.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register("op10_benchmark_decontamination")
+def op10(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark"))
