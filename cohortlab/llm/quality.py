@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlab.llm.common import arrow_map, checkpointed
 
@@ -59,15 +60,16 @@ def statistics(text: str | None) -> list[float]:
             sum(c for w, c in seen.items() if _TAGGED.search(w)) / k]
 
 
-def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, x): the statistics of each row's whole text."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def with_statistics(docs: DataFrame, columns: list[str], text_col: str = "text") -> DataFrame:
+    """``columns`` of each row and ``x``, the statistics of its whole text."""
+    base = docs.select(*columns, F.col(text_col).alias("__text"))
+    schema = T.StructType([*base.schema.fields[:-1], T.StructField("x", T.ArrayType(T.DoubleType()))])
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        x = [statistics(t) for t in b.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
+        x = [statistics(t) for t in b.column(b.num_columns - 1).to_pylist()]
+        return pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(x, pa.list_(pa.float64()))], names=[f.name for f in schema])
 
-    return arrow_map(base, run, f"doc_id {dict(base.dtypes)['doc_id']}, x array<double>")
+    return arrow_map(base, run, schema)
 
 
 @dataclass
@@ -157,26 +159,30 @@ def fit(train: DataFrame, features: int = 256, ridge: float = 1e-3, gamma: float
     return model
 
 
-def scored(stats: DataFrame, model: Model | float) -> DataFrame:
-    """(doc_id, score) for every row of ``stats`` (doc_id, x)."""
+def scored(stats: DataFrame, model: Model | float, key: str) -> DataFrame:
+    """``key`` and ``score`` for every row of ``stats``."""
     if isinstance(model, float):
-        return stats.select("doc_id", F.lit(model).alias("score"))
+        return stats.select(key, F.lit(model).alias("score"))
+    base = stats.select(key, "x")
+    schema = T.StructType([base.schema.fields[0], T.StructField("score", T.DoubleType())])
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        s = model.score(_matrix(b.column(1))) if b.num_rows else np.zeros(0)
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["doc_id", "score"])
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(model.score(_matrix(b.column(1))), pa.float64())], names=[key, "score"])
 
-    return arrow_map(stats.select("doc_id", "x"), run, f"doc_id {dict(stats.dtypes)['doc_id']}, score double")
+    return arrow_map(base, run, schema)
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """(doc_id, score, predicted) for every row of ``docs``; learned from
-    ``labels`` (doc_id, y in 0/1, one row per document), which are all used.
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str | None = None,
+             **params) -> DataFrame:
+    """``key`` (the id unless another column is named), score and predicted for
+    every row of ``docs``; learned from ``labels`` (doc_id, y in 0/1, one row
+    per document), which are all used.
 
     Scores come from the text alone. Null and empty texts are scored like any
     other, as statistics of zero. Rows that repeat an id are all scored. Rows
     with a null id are scored and never learned from. Extra columns are not used.
     """
-    stats = checkpointed(with_statistics(docs, id_col, text_col))
-    model = fit(stats.join(labels, "doc_id").select("x", "y"), **params)
-    return scored(stats, model).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+    key = key or id_col
+    stats = checkpointed(with_statistics(docs, list(dict.fromkeys([key, id_col])), text_col))
+    model = fit(stats.join(labels, stats[id_col] == labels["doc_id"]).select("x", "y"), **params)
+    return scored(stats, model, key).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))

@@ -10,7 +10,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm import chat_format, decontaminate, line_dedup, piece_bpe, quality, simhash
+from cohortlab.llm import ann, chat_format, decontaminate, html_blocks, line_dedup, pii, piece_bpe, quality, simhash, toxicity
 from cohortlab.llm.common import labelled, remainder, table
 
 QUERIES: dict = {}
@@ -98,10 +98,10 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
     return encoded(table(spark, d, "documents"))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Quality of every document; the labels of those with remainder 1 are held out."""
+def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Quality of every row of ``docs``, named by ``key``; the labels of documents with remainder 1 are held out."""
     train = labelled(labels, "quality").where(remainder(F.col("doc_id"), 3) != 1)
-    return quality.classify(docs.select("doc_id", "text"), train)
+    return quality.classify(docs, train, key=key)
 
 
 @register("op3_quality_classifier")
@@ -119,3 +119,37 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
 @register("op10_benchmark_decontamination")
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark"))
+
+
+# The key of a deployment comes from its secret store; this one makes the query repeatable.
+PII_KEY = b"cohortlab example key"
+
+
+@register("op1_pii_pseudonyms")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    out = pii.pseudonymise(table(spark, d, "documents").select("doc_id", "text"), PII_KEY)
+    return out.select("doc_id", "text", F.size("spans").cast("long").alias("n_replaced"), "spans")
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Toxicity of every document; the labels of those with remainder 0 are held out."""
+    train = labelled(labels, "toxic").where(remainder(F.col("doc_id"), 5) != 0)
+    return toxicity.classify(docs.select("doc_id", "text"), train)
+
+
+@register("op2_toxicity")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    out = toxicity_scores(table(spark, d, "documents"), table(spark, d, "labels"))
+    return out.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@register("op5_html_main_text")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    out = html_blocks.extract(table(spark, d, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@register("op7_learned_partitions")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, vectors.where("vec_id % 20 = 0"), k=20)
