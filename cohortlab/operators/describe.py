@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -85,7 +86,7 @@ def _ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int = 20) -> DataFrame:
     """T4: ``(column, bin, lo, hi, count)`` with ``bins`` equal-width bins between
-    min and max; the last bin is right-closed. Empty bins are omitted."""
+    min and max; the last bin is right-closed. Empty bins count 0."""
     cols = list(cols or numeric_columns(df))
     rng = bounded_broadcast(_ranges(df, cols), 100_000)  # one row per column
     long = to_long(df, cols, "double").where(F.col("value").isNotNull())
@@ -93,8 +94,10 @@ def histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int = 20)
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - F.col("lo")) / width).cast("int"), F.lit(bins - 1)))
-    return (j.withColumn("bin", b).groupBy("column", "bin", "lo", "hi")
-             .agg(F.count(F.lit(1)).alias("count"))
+    counts = j.withColumn("bin", b).groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count"))
+    last = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(F.lit(bins - 1))
+    every = rng.where("n > 0").select("column", "lo", "hi", F.explode(F.sequence(F.lit(0), last)).alias("bin"))
+    return (every.join(counts, ["column", "bin"], "left").fillna(0, ["count"])
              .select("column", "bin",
                      (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / bins).alias("bin_lo"),
                      (F.col("lo") + (F.col("bin") + 1) * (F.col("hi") - F.col("lo")) / bins).alias("bin_hi"),
@@ -127,30 +130,32 @@ def table_info(df: DataFrame) -> DataFrame:
     return wide.select(F.inline(arr))
 
 
-def kde(df: DataFrame, col: str, grid: int = 200, cut_sigmas: float = 8.0) -> DataFrame:
+def kde(df: DataFrame, col: str, grid: int = 200, group: int = 20) -> DataFrame:
     """Gaussian kernel density on ``grid`` points spanning [min, max],
-    bandwidth by Scott's rule ``h = std * n^(-1/5)``.
+    bandwidth by Scott's rule ``h = std * n^(-1/5)``. Output ``(i, x, density)``.
 
-    Values are first counted per distinct value; each value only feeds the
-    grid points within ``cut_sigmas * h`` (the omitted tail is below 1e-14
-    of the kernel mass), so no value x grid cross product is formed.
-    Output ``(i, x, density)``.
+    Values are counted per distinct value first. The sums of all points are
+    aggregates over that one table, ``group`` of them in each aggregation so
+    that the generated code stays small: no value x grid rows, every point
+    comes back, no tail is cut. A constant column has one point, of density null
+    (no bandwidth); a column without values has none.
     """
     x = F.col(col).cast("double")
-    st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"),
-                F.stddev_samp(x).alias("sd"))
-    st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    st = st.withColumn("step", (F.col("hi") - F.col("lo")) / (grid - 1))
+    s = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("sd")).first()
+    out = "i int, x double, density double"
+    if not s["n"]:
+        return df.sparkSession.createDataFrame([], out)
+    if not s["sd"]:
+        return df.sparkSession.createDataFrame([(0, s["lo"], None)], out)
+    h, step = s["sd"] * s["n"] ** -0.2, (s["hi"] - s["lo"]) / (grid - 1)
+    norm = s["n"] * h * (2 * 3.141592653589793) ** 0.5
     vals = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    s = st.first()  # one row: the fitted scalars
-    if s is None or not s["n"] or not s["h"]:
-        return df.sparkSession.createDataFrame([], "i int, x double, density double")
-    lo, step, h, n = s["lo"], s["step"] or 1.0, s["h"], s["n"]
-    first = F.greatest(F.lit(0), F.ceil((F.col("v") - cut_sigmas * h - lo) / step).cast("int"))
-    last = F.least(F.lit(grid - 1), F.floor((F.col("v") + cut_sigmas * h - lo) / step).cast("int"))
-    pts = vals.withColumn("i", F.explode(F.sequence(first, last)))
-    gx = F.lit(lo) + F.col("i") * F.lit(step)
-    z = (gx - F.col("v")) / F.lit(h)
-    dens = F.sum(F.col("c") * F.exp(-0.5 * z * z)) / F.lit(n * h * (2 * 3.141592653589793) ** 0.5)
-    return pts.groupBy("i").agg(dens.alias("density")).select(
-        "i", (F.lit(lo) + F.col("i") * F.lit(step)).alias("x"), "density")
+
+    def point(i):
+        z = (F.lit(s["lo"] + i * step) - F.col("v")) / F.lit(h)
+        return F.struct(F.lit(i).alias("i"), F.lit(s["lo"] + i * step).alias("x"),
+                        (F.sum(F.col("c") * F.exp(-0.5 * z * z)) / F.lit(norm)).alias("density"))
+
+    parts = [vals.agg(F.array(*[point(i) for i in range(at, min(grid, at + group))]).alias("a")).select(F.inline("a"))
+             for at in range(0, grid, group)]
+    return reduce(DataFrame.unionAll, parts)

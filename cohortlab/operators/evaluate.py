@@ -85,7 +85,8 @@ def roc_points(scores: DataFrame, by: Sequence[str] = ("class",), label_is_pos="
     statistic), then distributed running sums in descending score order.
     Returns ``(curve, auc)``: curve ``(*by, threshold, fpr, tpr)``; auc
     ``(*by, auc)`` from the trapezoid rule, each step computed from its own
-    row (no lag window).
+    row (no lag window). A group without positive or without negative rows
+    has a null rate there and a null auc.
     """
     by = list(by)
     g = scores.groupBy(*by, F.col(score).alias("threshold")).agg(
@@ -96,9 +97,9 @@ def roc_points(scores: DataFrame, by: Sequence[str] = ("class",), label_is_pos="
     tot = g.groupBy("__key").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     cum = cumulative_sums(g, "__key", ["__neg_thr"], ["pos", "neg"]).join(tot, "__key")
     curve = cum.select(*by, "threshold",
-                       (F.col("cum_neg") / F.col("N")).alias("fpr"),
-                       (F.col("cum_pos") / F.col("P")).alias("tpr"))
-    step = (F.col("neg") / F.col("N")) * ((F.col("cum_pos") - F.col("pos") / 2.0) / F.col("P"))
+                       F.try_divide("cum_neg", "N").alias("fpr"),
+                       F.try_divide("cum_pos", "P").alias("tpr"))
+    step = F.try_divide("neg", "N") * F.try_divide(F.col("cum_pos") - F.col("pos") / 2.0, F.col("P"))
     auc = cum.groupBy(*by).agg(F.sum(step).alias("auc"))
     return curve, auc
 

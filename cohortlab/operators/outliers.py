@@ -101,6 +101,30 @@ def outlier_report(original: DataFrame, cleaned: DataFrame, key: str | None = No
               "Cleaned_Std double, Points_Modified long")
 
 
+def hash_threshold(n: int, sample_size: int) -> int:
+    """Share of the 63-bit hash range that draws about 1.5 * sample_size of n rows.
+
+    Integer arithmetic over the full range: never zero, however large n is."""
+    return min(2 ** 63 - 1, max(1, 3 * sample_size * 2 ** 63 // (2 * n)))
+
+
+def step_function(tree, c_factor) -> tuple[np.ndarray, np.ndarray]:
+    """A tree on one column as sorted split points and the path length between them."""
+    cuts: list[float] = []
+    lengths: list[float] = []
+
+    def walk(node, depth):
+        if node[0] == "leaf":
+            lengths.append(depth + c_factor(node[1]))
+        else:
+            walk(node[2], depth + 1)
+            cuts.append(node[1])
+            walk(node[3], depth + 1)
+
+    walk(tree, 0)
+    return np.array(cuts), np.array(lengths)
+
+
 def isolation_scores(df: DataFrame, column: str, n_trees: int = 100, sample_size: int = 256,
                      seed: int = 42) -> DataFrame:
     """X3 support: isolation-forest anomaly score of one numeric column.
@@ -118,13 +142,13 @@ def isolation_scores(df: DataFrame, column: str, n_trees: int = 100, sample_size
     # One pass for all trees: a row joins tree t when its hash under seed t
     # falls below ~1.5 * sample_size / n; per tree the smallest hashes are
     # kept. Expected work per row is 1.5 * n_trees * sample_size / n.
-    frac = min(1.0, 1.5 * sample_size / n)
-    thr = int(frac * 1_000_000)
+    # Hashes cover the whole row, so copies of one value are drawn one by one.
+    thr = hash_threshold(n, sample_size)
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    picked = (df.where(x.isNotNull()).select(x.alias("v"))
+    picked = (df.where(x.isNotNull()).select(x.alias("v"), F.xxhash64(*df.columns).alias("row"))
                 .withColumn("t", F.explode(F.filter(
-                    trees, lambda t: (F.abs(F.xxhash64(F.col("v"), F.lit(seed) + t)) % 1_000_000) < thr)))
-                .withColumn("h", F.xxhash64(F.col("v"), F.lit(seed) + F.col("t"))))
+                    trees, lambda t: F.shiftrightunsigned(F.xxhash64(F.col("row"), F.lit(seed) + t), 1) < F.lit(thr))))
+                .withColumn("h", F.xxhash64(F.col("row"), F.lit(seed) + F.col("t"))))
     from pyspark.sql import Window
     w = Window.partitionBy("t").orderBy("h")
     picked = picked.withColumn("r", F.row_number().over(w)).where(F.col("r") <= sample_size)
@@ -150,27 +174,14 @@ def isolation_scores(df: DataFrame, column: str, n_trees: int = 100, sample_size
         arr = np.asarray(vals, dtype=float)
         forest.append(grow(arr, 0, int(np.ceil(np.log2(max(len(arr), 2))))))
     psi = min(sample_size, n)
-    bc = spark.sparkContext.broadcast((forest, c_factor(psi)))
+    bc = spark.sparkContext.broadcast(([step_function(t, c_factor) for t in forest], c_factor(psi)))
 
     @F.pandas_udf("double")
     def score(v: pd.Series) -> pd.Series:
-        trees, cn = bc.value
-
-        def path(node, val, d):
-            while node[0] == "node":
-                node = node[2] if val < node[1] else node[3]
-                d += 1
-            return d + c_factor(node[1])
-
-        out = np.empty(len(v))
+        steps, cn = bc.value
         vals = v.to_numpy(dtype=float, na_value=np.nan)
-        for i, val in enumerate(vals):
-            if np.isnan(val):
-                out[i] = np.nan
-                continue
-            h = np.mean([path(tr, val, 0) for tr in trees])
-            out[i] = 2.0 ** (-h / cn) if cn > 0 else 0.5
-        return pd.Series(out)
+        h = sum(lengths[np.searchsorted(cuts, vals, side="right")] for cuts, lengths in steps) / len(steps)
+        return pd.Series(np.where(np.isnan(vals), np.nan, 2.0 ** (-h / cn) if cn > 0 else 0.5))
 
     return df.withColumn("__score", score(x))
 

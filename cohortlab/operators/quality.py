@@ -21,7 +21,7 @@ def validate(df: DataFrame, required: Sequence[str] = (), raise_on_fail: bool =
     One aggregation; report ``(check, passed, detail)``.
     """
     missing = sorted(missing_columns(df, required))
-    any_null = F.greatest(*[F.max(F.col(c).isNull().cast("int")) for c in df.columns]) if df.columns else F.lit(0)
+    any_null = F.greatest(F.lit(0), F.lit(0), *[F.max(F.col(c).isNull().cast("int")) for c in df.columns])
     row = df.agg(F.count(F.lit(1)).alias("n"), any_null.alias("z")).first()
     n, z = row["n"], row["z"] or 0
     checks = [("not_empty", n > 0 and len(df.columns) > 0, f"rows={n} columns={len(df.columns)}"),
@@ -101,11 +101,9 @@ def infer_schema(df: DataFrame, domain_limit: int = 20) -> DataFrame:
 
 
 def _ks_lambda_p(d, en) -> F.Column:
-    lam = (F.sqrt(en) + 0.12 + 0.11 / F.sqrt(en)) * d
-    terms = [((-1) ** (k - 1)) * F.exp(-2.0 * k * k * lam * lam) for k in range(1, 101)]
-    s = terms[0]
-    for t in terms[1:]:
-        s = s + t
+    lam = (F.sqrt(en) + 0.12 + F.try_divide(F.lit(0.11), F.sqrt(en))) * d
+    s = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
+                    lambda acc, k: acc + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * lam * lam))
     return F.when(lam < 1e-3, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * s)))
 
 
@@ -115,7 +113,8 @@ def ks_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str] | None = None,
 
     Counts per (column, value) from both sides (partially aggregated),
     distributed running sums in value order, ``D = max |F1 - F2|``, and the
-    asymptotic p-value. ``(column, n1, n2, ks_stat, p_value, drift)``.
+    asymptotic p-value. ``(column, n1, n2, ks_stat, p_value, drift)``; null
+    statistic, p-value and flag for a column without values on one side.
     """
     cols = list(cols or [c for c in numeric_columns(ref) if c in cur.columns])
     la = to_long(ref, cols, "double").where(F.col("value").isNotNull()).select(
@@ -128,9 +127,10 @@ def ks_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str] | None = None,
     cum = cumulative_sums(counts, "column", ["value"], ["c1", "c2"])
     d = (cum.join(bounded_broadcast(tot, 100_000), "column")
             .groupBy("column", "n1", "n2")
-            .agg(F.max(F.abs(F.col("cum_c1") / F.col("n1") - F.col("cum_c2") / F.col("n2"))).alias("ks_stat")))
-    en = F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2"))
+            .agg(F.max(F.abs(F.try_divide("cum_c1", "n1") - F.try_divide("cum_c2", "n2"))).alias("ks_stat")))
+    en = F.try_divide(F.col("n1") * F.col("n2"), F.col("n1") + F.col("n2"))
     p = _ks_lambda_p(F.col("ks_stat"), en)
+    p = F.when(F.col("ks_stat").isNotNull(), p)
     return d.select("column", "n1", "n2", "ks_stat", p.alias("p_value"), (p < alpha).alias("drift"))
 
 
@@ -222,4 +222,4 @@ def chi2_table_no_yates(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) ->
     g = F.col("r1") + F.col("r2")
     e1 = F.col("r1") * (F.col("o1") + F.col("o2")) / g
     e2 = F.col("r2") * (F.col("o1") + F.col("o2")) / g
-    return j.groupBy("column").agg(F.sum((F.col("o1") - e1) ** 2 / e1 + (F.col("o2") - e2) ** 2 / e2).alias("statistic"))
+    return j.groupBy("column").agg(F.sum(F.try_divide((F.col("o1") - e1) ** 2, e1) + F.try_divide((F.col("o2") - e2) ** 2, e2)).alias("statistic"))

@@ -149,22 +149,32 @@ def _suffix_overlaps(dfs: Sequence[DataFrame], key: str, suffix: str) -> list[Da
 
 
 def full_outer_fold(dfs: Sequence[DataFrame], key: str, suffix: str = "_dup",
-                    one_row_per_key: bool = True) -> DataFrame:
+                    one_row_per_key: bool = False) -> DataFrame:
     """J3 (+P8): fold of full outer joins on one key, ``('', suffix)`` naming.
 
     When every input holds at most one row per key (the case after W1), the
     fold equals ``unionByName`` + one ``groupBy(key)`` taking the single
     non-null value per column: one shuffle for N tables instead of N-1 join
-    exchanges, and partial aggregation keeps hot keys cheap. Otherwise a
-    plain join fold (which can fan out, like the reference).
+    exchanges, and partial aggregation keeps hot keys cheap. The caller asks
+    for that form with ``one_row_per_key``; a table that repeats a key then
+    raises when the plan runs, and rows with a null key stay apart as they do
+    in a join. The default is the plain join fold (which can fan out, like the
+    reference).
     """
     parts = _suffix_overlaps(list(dfs), key, suffix)
     if not one_row_per_key:
         return reduce(lambda a, b: a.join(b, on=key, how="full"), parts)
     cols = [c for d in parts for c in d.columns if c != key]
-    # A presence flag per part keeps a key that exists only through null values.
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return union.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                   [d.withColumn("__part", F.lit(i)) for i, d in enumerate(parts)])
+    counts = [F.count(F.when(F.col("__part") == i, 1)) for i in range(len(parts))]
+    once = F.greatest(*counts, F.lit(0)) <= 1
+    keyed = union.where(F.col(key).isNotNull())
+    out = keyed.groupBy(key).agg(*[F.max(c).alias(c) for c in cols], once.alias("__once"))
+    checked = F.when(F.col("__once"), F.col(key)).otherwise(
+        F.raise_error(F.lit(f"full_outer_fold: a table repeats a value of {key}")).cast(parts[0].schema[key].dataType))
+    alone = union.where(F.col(key).isNull()).select(key, *cols)
+    return out.select(checked.alias(key), *cols).unionByName(alone)
 
 
 def inner_fold(dfs: Sequence[DataFrame], key: str) -> DataFrame:

@@ -26,9 +26,9 @@ U_BITS = 60
 
 
 def hash_u(key, seed: int = 42) -> Column:
-    """60-bit unsigned hash of ``'<key>:<seed>'`` as a long."""
+    """60-bit unsigned hash of ``'<key>:<seed>'`` as a long; a null key is written ``null``."""
     k = F.col(key) if isinstance(key, str) else key
-    s = F.concat(k.cast("string"), F.lit(f":{seed}"))
+    s = F.concat(F.coalesce(k.cast("string"), F.lit("null")), F.lit(f":{seed}"))
     return F.conv(F.substring(F.md5(s), 1, 15), 16, 10).cast("long")
 
 
@@ -66,6 +66,13 @@ def _before(u: str, key: str, cut) -> Column:
     return (F.col(u) < F.lit(uk)) | ((F.col(u) == F.lit(uk)) & (F.col(key) < F.lit(kk)))
 
 
+def _unique(df: DataFrame, key: str) -> DataFrame:
+    """``df`` if no key repeats (a null counts as a value): exact sizes rest on it."""
+    if not df.groupBy(key).count().where("count > 1").isEmpty():
+        raise ValueError(f"{key} repeats; exact sizes need a key that tells all rows apart")
+    return df
+
+
 def split_sizes_two(n: int, test: float) -> tuple[int, int]:
     """scikit-learn sizes: ``n_test = ceil(test * n)``, train is the rest."""
     nt = math.ceil(test * n)
@@ -75,7 +82,7 @@ def split_sizes_two(n: int, test: float) -> tuple[int, int]:
 def train_test(df: DataFrame, key: str, test: float = 0.2, seed: int = 42,
                out: str = "split") -> DataFrame:
     """Adds ``split`` in {'train', 'test'} with exact sizes."""
-    d = df.withColumn("__u", hash_u(key, seed))
+    d = _unique(df, key).withColumn("__u", hash_u(key, seed))
     n = d.count()
     n_train, _ = split_sizes_two(n, test)
     cut = rank_cut(d, "__u", key, n_train)
@@ -85,7 +92,7 @@ def train_test(df: DataFrame, key: str, test: float = 0.2, seed: int = 42,
 def train_val_test(df: DataFrame, key: str, rest: float = 0.30, test_of_rest: float = 0.5,
                    seed: int = 42, out: str = "split") -> DataFrame:
     """70 / 15 / 15 with exact sizes: rest = ceil(0.3 n), test = ceil(0.5 rest)."""
-    d = df.withColumn("__u", hash_u(key, seed))
+    d = _unique(df, key).withColumn("__u", hash_u(key, seed))
     n = d.count()
     n_train, n_rest = split_sizes_two(n, rest)
     n_val, _ = split_sizes_two(n_rest, test_of_rest)
@@ -97,7 +104,7 @@ def train_val_test(df: DataFrame, key: str, rest: float = 0.30, test_of_rest: fl
 
 def under_sample(df: DataFrame, group_col: str, group, n: int, key: str, seed: int = 1) -> DataFrame:
     """D3: exactly ``n`` rows of one group (first ``n`` in hash order)."""
-    g = df.where(F.col(group_col) == F.lit(group)).withColumn("__u", hash_u(key, seed))
+    g = _unique(df.where(F.col(group_col) == F.lit(group)), key).withColumn("__u", hash_u(key, seed))
     size = g.count()
     if n > size:
         raise ValueError(f"Cannot take a larger sample ({n}) than the group ({size})")
@@ -117,8 +124,10 @@ def over_sample(df: DataFrame, group_col: str, group, n: int, key: str, seed: in
     spark = df.sparkSession
     g = df.where(F.col(group_col) == F.lit(group)).withColumn("__u", hash_u(key, seed))
     size = g.count()
-    if n == 0 or size == 0:
+    if n == 0:
         return df.limit(0)
+    if size == 0:
+        raise ValueError(f"cannot draw {n} rows from an empty group")
     ranked = with_row_index(g, ["__u", key], "__r")
     draws = (spark.range(n).withColumn("__r", F.pmod(hash_u(F.col("id"), seed + 1), F.lit(size)))
                  .select("__r"))

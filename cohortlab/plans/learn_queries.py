@@ -158,11 +158,13 @@ def q_l12_stream(spark, d):
     e = table(spark, d, "embeddings").select(
         "vec_id", F.concat_ws(",", F.transform("embedding", lambda x: x.cast("double").cast("string"))).alias("text"))
     e.write.mode("overwrite").parquet(src)
-    q = ST.score_stream(spark, model, src, e.schema, F.col("text"), 64, keep=["vec_id"],
-                        checkpoint=scratch_dir(spark, "stream_ckpt"), query_name="scored_stream")
+    out, rejects = scratch_dir(spark, "stream_out"), scratch_dir(spark, "stream_rejects")
+    q = ST.score_stream(spark, model, src, e.schema, F.col("text"), 64, out, rejects,
+                        scratch_dir(spark, "stream_ckpt"), keep=["vec_id"])
     q.processAllAvailable()
     q.stop()
-    return spark.sql("SELECT * FROM scored_stream")
+    return (spark.read.parquet(out).select("vec_id", "prediction")
+            .unionByName(spark.read.parquet(rejects).select("vec_id", F.lit(-1).alias("prediction"))))
 
 
 @register("lda_projection")

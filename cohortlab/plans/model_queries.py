@@ -241,10 +241,13 @@ def q_t8(spark, d):
 def _hist_sql(bins: int) -> str:
     parts = []
     for c in LI_NUM:
-        parts.append(f"""SELECT '{c}' AS column, bin, round(lo + bin * (hi - lo) / {bins}, 6) AS bin_lo,
-  round(lo + (bin + 1) * (hi - lo) / {bins}, 6) AS bin_hi, count(*) AS count FROM (
-  SELECT CASE WHEN hi = lo THEN 0 ELSE least(CAST(floor(({c} - lo) / ((hi - lo) / {bins})) AS INTEGER), {bins - 1}) END AS bin, lo, hi
-  FROM lineitem, (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem) WHERE {c} IS NOT NULL) GROUP BY bin, lo, hi""")
+        parts.append(f"""SELECT '{c}' AS column, CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * (hi - lo) / {bins}, 6) AS bin_lo,
+  round(lo + (b.bin + 1) * (hi - lo) / {bins}, 6) AS bin_hi, coalesce(n, 0) AS count
+  FROM (SELECT range AS bin FROM range({bins})) b
+  JOIN (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem) s ON b.bin = 0 OR hi > lo
+  LEFT JOIN (SELECT CASE WHEN hi = lo THEN 0 ELSE least(CAST(floor(({c} - lo) / ((hi - lo) / {bins})) AS INTEGER), {bins - 1}) END AS bin,
+    count(*) AS n FROM lineitem, (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem) WHERE {c} IS NOT NULL GROUP BY 1) k
+  ON k.bin = b.bin""")
     return " UNION ALL ".join(parts)
 
 

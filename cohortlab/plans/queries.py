@@ -66,7 +66,7 @@ def motor_tables(spark: SparkSession, d: str) -> list[DataFrame]:
 
 
 def motor_fold(spark: SparkSession, d: str) -> DataFrame:
-    return R.full_outer_fold(motor_tables(spark, d), "user_id", "_dup")
+    return R.full_outer_fold(motor_tables(spark, d), "user_id", "_dup", one_row_per_key=True)
 
 
 def _motor_fold_sql() -> str:
