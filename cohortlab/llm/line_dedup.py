@@ -5,10 +5,10 @@ counted per hash, and the documents put together again by line position.
 DataFrame functions only. Only hashes and positions are shuffled for the
 counts; each text crosses the network once, to meet its positions.
 
-A hot line costs no single task anything: documents per hash are counted in
-two steps (first per hash *and* document, then per hash, both combined before
-the shuffle), and the join that finds the hot lines of each document is a
-sort-merge join whose skewed partitions adaptive execution splits.
+A hot line goes to no single task: documents per hash are counted in two steps
+(first per hash *and* document, then per hash, both combined before the
+shuffle), and the join that finds the hot lines of each document is salted by
+the document.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from cohortlab.llm.common import free_name
 WHITE = " \t\n\x0b\x0c\r"
 # Seed of the second 64-bit hash: a key is known by 128 bits.
 SECOND = 77
+# Tasks over which the documents of one hot line are dealt.
+SALTS = 32
 
 
 def line_key(line: Column) -> Column:
@@ -67,7 +69,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hot = (lines.groupBy("h1", "h2", "id").agg(F.lit(1).alias("one"))
            .groupBy("h1", "h2").agg(F.count("*").alias("n_docs"))
            .where(F.col("n_docs") >= min_docs).select("h1", "h2"))
-    dropped = (lines.join(hot, ["h1", "h2"])
+    # A hot line stands in very many documents: they are dealt over SALTS tasks, and the few hot keys go to each.
+    salted = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dropped = (lines.withColumn("salt", F.pmod(F.xxhash64("id", "mark"), F.lit(SALTS)).cast("int")).join(salted, ["h1", "h2", "salt"])
                .groupBy("id", "mark").agg(F.collect_set("pos").alias(drop)))
 
     out = rows.join(dropped, F.col(id_col).eqNullSafe(dropped["id"]) & (F.col(mark) == dropped["mark"]), "left")
