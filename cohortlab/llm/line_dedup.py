@@ -79,8 +79,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_lines = F.size(split_lines(F.col(text_col)))
     # Kept positions come from a hash set difference, so a text of many lines stays linear.
     left = F.array_sort(F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col(drop)))
-    text = F.when(F.col(drop).isNull(), whole).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get(split_lines(F.col(text_col)), i)), "\n"))
+    # The lines are bound by an outer lambda: split once for a text, not once for each kept line.
+    joined = F.get(F.transform(F.array(split_lines(F.col(text_col))), lambda ls: F.array_join(
+        F.transform(left, lambda i: F.get(ls, i)), "\n")), F.lit(0))
+    text = F.when(F.col(drop).isNull(), whole).otherwise(joined)
     return out.select(*[(text.alias(c) if c == text_col else rows[f"`{c}`"]) for c in kept],
                       n_lines.cast("long").alias("n_lines"),
                       F.coalesce(F.size(F.col(drop)), F.lit(0)).cast("long").alias("n_dropped"))
