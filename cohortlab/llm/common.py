@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.session import checkpointed, scratch_dir
 
-__all__ = ["checkpointed", "scratch_dir", "table", "remainder", "labelled", "arrow_map", "free_name"]
+__all__ = ["checkpointed", "scratch_dir", "table", "remainder", "labelled", "arrow_map", "free_name", "join_per_key"]
 
 # Rows in one Arrow batch inside ``arrow_map``; texts of 100 kB keep a batch below about 50 MB.
 BATCH_ROWS = 512
@@ -56,3 +56,20 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Ite
                 else:
                     yield from got
     return df.mapInArrow(run, schema)
+
+
+def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, share: int = 1000) -> DataFrame:
+    """``rows`` joined to ``per_key``: one row per value of ``key``, whose column
+    ``n`` counts its rows in ``rows`` (and is left out of the result).
+
+    Keys with more than one in ``share`` of all rows are fewer than ``share``,
+    as their counts add up to no more than all rows: they are broadcast, and
+    their rows never meet in one task. The rest is an ordinary join, in which
+    no key has more than one in ``share`` of the rows. Null keys match nothing.
+    """
+    per_key = checkpointed(per_key)
+    total = per_key.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") * share > F.lit(total)
+    hot, cold = per_key.where(is_hot).drop("n"), per_key.where(~is_hot).drop("n")
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import arrow_map, checkpointed
+from cohortlab.llm.common import arrow_map, checkpointed, join_per_key
 from cohortlab.llm.graph import components
 
 BITS = 64
@@ -152,14 +152,14 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     table gives an empty result.
     """
     fps = checkpointed(fingerprints(docs, id_col, text_col, shingle))
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     links = near_links(nodes.select("fp"), radius)
-    roots = components(links)
     # The smallest id of a component, for the fingerprints that have links.
-    grouped = nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "root", "first")
-    linked = grouped.join(grouped.groupBy("root").agg(F.min("first").alias("lowest")), "root").select("fp", "lowest")
-    every = nodes.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "first").alias("component_id"))
-    return fps.join(every, "fp").select("doc_id", "fp", "component_id")
+    grouped = checkpointed(nodes.join(components(links).withColumnRenamed("node", "fp"), "fp").select("fp", "root", "first"))
+    lowest = grouped.groupBy("root").agg(F.min("first").alias("lowest"), F.count("*").alias("n"))
+    linked = join_per_key(grouped, lowest, "root").select("fp", "lowest")
+    every = nodes.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "first").alias("component_id"), "n")
+    return join_per_key(fps, every, "fp").select("doc_id", "fp", "component_id")
 
 
 def hex16(fp) -> F.Column:
