@@ -1,10 +1,8 @@
-"""Per-column statistics computed in ONE distributed aggregation.
+"""Per-column statistics computed in one distributed aggregation, and exact quantiles in a few more.
 
 The result of a fit is O(columns) and is the only thing that reaches the
-driver. Exact quantiles use Spark's ``percentile`` (linear interpolation,
-same as pandas and DuckDB ``quantile_cont``); its buffer holds one entry per
-distinct value, which is small for coded columns. ``exact=False`` switches to
-``percentile_approx`` for high-cardinality columns at scale.
+driver. Quantiles interpolate linearly (as pandas and DuckDB ``quantile_cont``
+do) and are exact; ``exact=False`` takes them from a sketch, in one pass.
 """
 
 from __future__ import annotations
@@ -14,6 +12,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlab.functions.quantiles import exact_quantiles
 from cohortlab.operators.relational import NUMERIC_TYPES, to_long
 
 _SIMPLE = {
@@ -32,25 +31,26 @@ _SIMPLE = {
 def column_stats(df: DataFrame, cols: Sequence[str], stats: Sequence[str],
                  quantiles: Sequence[float] = (), exact: bool = True,
                  accuracy: int = 100_000) -> dict[str, dict[str, float]]:
-    """``{column: {stat: value, 'q0.25': value, ...}}`` from one ``agg``."""
+    """``{column: {stat: value, 'q0.25': value, ...}}``: one ``agg``, then exact quantiles."""
     cols = list(cols)
-    aggs, names = [], []
+    aggs = []
     for i, c in enumerate(cols):
         for s in stats:
             aggs.append(_SIMPLE[s](c).alias(f"s{i}_{s}"))
         if quantiles:
             x = F.col(c).cast("double")
-            q = (F.percentile(x, list(quantiles)) if exact
-                 else F.percentile_approx(x, list(quantiles), accuracy))
-            aggs.append(q.alias(f"s{i}_q"))
+            aggs.append(F.count(x).alias(f"s{i}_size") if exact
+                        else F.percentile_approx(x, list(quantiles), accuracy).alias(f"s{i}_q"))
     if not aggs:
         return {c: {} for c in cols}
     row = df.agg(*aggs).first().asDict()
+    if quantiles and exact:
+        found = exact_quantiles(df, {c: quantiles for c in cols}, {c: row[f"s{i}_size"] for i, c in enumerate(cols)})
     out = {}
     for i, c in enumerate(cols):
         d = {s: row[f"s{i}_{s}"] for s in stats}
         if quantiles:
-            qs = row[f"s{i}_q"] or [None] * len(quantiles)
+            qs = [found[c][p] for p in quantiles] if exact else row[f"s{i}_q"] or [None] * len(quantiles)
             for p, v in zip(quantiles, qs):
                 d[f"q{p}"] = v
         out[c] = d

@@ -103,11 +103,3 @@ def model_type(name_col) -> Column:
             cond = up.contains(n) if cond is None else (cond | up.contains(n))
         expr = F.when(cond, F.lit(typ)) if expr is None else expr.when(cond, F.lit(typ))
     return expr
-
-
-def model_type_py(name: str) -> str:
-    up = name.upper()
-    for needles, typ in MODEL_TYPE_RULES:
-        if any(n in up for n in needles):
-            return typ
-    raise ValueError(f"Unrecognized model type for model_name: {name}")

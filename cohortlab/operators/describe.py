@@ -1,5 +1,6 @@
 """Descriptive statistics, inventory IDs T1-T9. All outputs are long tables
-(one row per column or per bin), computed lazily in one or two passes."""
+(one row per column or per bin). Quantiles are searched for when the operator
+is called, in a few passes; the rest is lazy."""
 
 from __future__ import annotations
 
@@ -9,32 +10,21 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.colstats import numeric_columns
+from cohortlab.functions.colstats import column_stats, numeric_columns
 from cohortlab.operators.relational import to_long
 from cohortlab.session import bounded_broadcast
 
 
-def _wide_to_long(wide: DataFrame, cols: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    arr = F.array(*[F.struct(F.lit(c).alias("column"),
-                             *[F.col(f"{f}__{i}").alias(f) for f in fields]) for i, c in enumerate(cols)])
-    return wide.select(F.inline(arr))
-
-
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """``(column, count, mean, std, min, p25, p50, p75, max)`` per numeric
-    column; std is the sample std, quantiles interpolate linearly. One pass."""
+    column; std is the sample std, quantiles interpolate linearly."""
     cols = list(cols or numeric_columns(df))
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        q = F.percentile(x, [0.25, 0.5, 0.75]) if exact else F.percentile_approx(x, [0.25, 0.5, 0.75], 100_000)
-        aggs += [F.count(x).alias(f"count__{i}"), F.avg(x).alias(f"mean__{i}"),
-                 F.stddev_samp(x).alias(f"std__{i}"), F.min(x).alias(f"min__{i}"),
-                 q.alias(f"q__{i}"), F.max(x).alias(f"max__{i}")]
-    wide = df.agg(*aggs)
-    wide = wide.select("*", *[F.col(f"q__{i}")[j].alias(f"{n}__{i}") for i in range(len(cols))
-                              for j, n in enumerate(["p25", "p50", "p75"])])
-    return _wide_to_long(wide, cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+    st = column_stats(df, cols, ["count", "mean", "std", "min", "max"], [0.25, 0.5, 0.75], exact)
+    number = lambda v: None if v is None else float(v)
+    rows = [(c, st[c]["count"], *[number(st[c][k]) for k in ("mean", "std", "min", "q0.25", "q0.5", "q0.75", "max")])
+            for c in cols]
+    return df.sparkSession.createDataFrame(rows, "column string, count long, mean double, std double, min double, "
+                                                 "p25 double, p50 double, p75 double, max double")
 
 
 def mode_table(df: DataFrame, cols: Sequence[str], value_type: str = "double") -> DataFrame:

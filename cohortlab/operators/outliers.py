@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.colstats import column_stats, numeric_columns
+from cohortlab.functions.quantiles import exact_quantiles
+from cohortlab.session import checkpointed
 
 
 def _cols(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
@@ -30,7 +32,7 @@ def clip_to_median(df: DataFrame, columns: Sequence[str] | None = None, method:
     cols = _cols(df, columns)
     if not cols:
         return df
-    st = column_stats(df, cols, ["mean", "std_pop"], quantiles=[0.25, 0.5, 0.75])
+    st = column_stats(df, cols, ["mean", "std_pop"], quantiles=[0.25, 0.5, 0.75] if method == "iqr" else [0.5])
     exprs = {}
     for c in cols:
         s, x = st[c], F.col(c)
@@ -61,7 +63,7 @@ def clean_outliers(df: DataFrame, columns: Sequence[str] | None = None, method:
     cols = _cols(df, columns)
     if not cols:
         return df
-    st = column_stats(df, cols, ["mean", "std"], quantiles=[0.25, 0.75])
+    st = column_stats(df, cols, ["mean", "std"], quantiles=[0.25, 0.75] if method == "iqr" else [])
     exprs = {}
     for c in cols:
         s, x = st[c], F.col(c)
@@ -189,12 +191,13 @@ def isolation_scores(df: DataFrame, column: str, n_trees: int = 100, sample_size
 def isolation_forest_to_median(df: DataFrame, columns: Sequence[str], contamination: float = 0.1,
                                **kw) -> DataFrame:
     """Per column, the top ``contamination`` share of isolation scores is
-    replaced by the median. Cut = exact score quantile (one aggregation)."""
+    replaced by the median. Cut = exact score quantile; the scores are written
+    once, as its search reads them several times."""
     out = df
     for c in columns:
         scored = isolation_scores(out, c, **kw)
-        st = column_stats(scored, ["__score", c], [], quantiles=[1 - contamination, 0.5])
-        cut, med = st["__score"][f"q{1 - contamination}"], st[c]["q0.5"]
+        found = exact_quantiles(checkpointed(scored.select("__score", c)), {"__score": [1 - contamination], c: [0.5]})
+        cut, med = found["__score"][1 - contamination], found[c][0.5]
         out = scored.withColumn(c, F.when(F.col("__score") > F.lit(cut), F.lit(med).cast(df.schema[c].dataType))
                                  .otherwise(F.col(c))).drop("__score")
     return out

@@ -278,11 +278,21 @@ def q_v5(spark, d):
     return _rounded(auc, ["auc"])
 
 
+@register("roc_auc_mean", f"""WITH {SCORES_SQL},
+auc AS (SELECT class, sum((neg / N) * ((cum_pos - pos / 2.0) / P)) AS auc FROM cum GROUP BY 1)
+SELECT round(avg(auc), 6) AS mean_auc, count(auc) AS n_classes FROM auc""")
+def q_v5_mean(spark, d):
+    """V5: mean one-vs-rest AUC over the classes that have one."""
+    _, auc = V.roc_points(class_scores(spark, d), ["class"])
+    return _rounded(auc.agg(F.avg("auc").alias("mean_auc"), F.count("auc").alias("n_classes")), ["mean_auc"])
+
+
 @register("roc_curve_binary", f"""WITH {SCORES_SQL}
 SELECT class, round(threshold, 6) AS threshold, round(cum_neg / N, 6) AS fpr, round(cum_pos / P, 6) AS tpr
-FROM cum WHERE class = 'R'""")
+FROM cum WHERE class = 'R'
+UNION ALL SELECT 'R', CAST('Infinity' AS DOUBLE), 0.0, 0.0""")
 def q_v6(spark, d):
-    """V6: ROC curve of one class."""
+    """V6: ROC curve of one class, from its start at (0, 0)."""
     curve, _ = V.roc_points(class_scores(spark, d).where(F.col("class") == "R"), ["class"])
     return _rounded(curve, ["threshold", "fpr", "tpr"])
 
@@ -337,8 +347,8 @@ report AS (
   FROM fair f JOIN acc a USING (model) JOIN bins b USING (model) WHERE f.feature = 'age_bin')"""
 
 
-def fairness_report(spark, d, preds=None):
-    return V.fairness_report(preds if preds is not None else predictions(spark, d), SENSITIVE, "age_bin")
+def fairness_report(spark, d):
+    return V.fairness_report(predictions(spark, d), SENSITIVE, "age_bin")
 
 
 @register("fairness_report", f"""WITH {PREDS_SQL}, {_REPORT_SQL}
@@ -360,8 +370,9 @@ ranked AS (SELECT a.model, a.accuracy, COALESCE(p.penalty, 0.0) AS penalty,
 
 
 def ranking(spark, d):
-    p = predictions(spark, d)
-    return V.rank_models(V.accuracy(p, ["model"]), fairness_report(spark, d, p))
+    cells = V.contingency(predictions(spark, d), [*SENSITIVE, "age_bin"])
+    report = V.fairness_report(cells, SENSITIVE, "age_bin", cells=cells)
+    return V.rank_models(V.accuracy_of_cells(cells, ["model"]), report)
 
 
 @register("model_ranking", f"""WITH {PREDS_SQL}, {_REPORT_SQL}, {_RANK_SQL}

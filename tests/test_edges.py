@@ -92,3 +92,20 @@ def test_roc_of_a_class_without_positives(spark):
     df = spark.createDataFrame([("a", False, 0.1), ("a", False, 0.2), ("b", True, 0.9), ("b", False, 0.1)], "class string, is_pos boolean, score double")
     _, auc = evaluate.roc_points(df)
     assert {r["class"]: r["auc"] for r in auc.collect()} == {"a": None, "b": 1.0}
+
+
+def test_fairness_counts_classes_that_a_group_lacks(spark):
+    """Group b never has class 1 and is never given it: its rates there are zero."""
+    df = spark.createDataFrame([("m", 0, 0, "b"), ("m", 0, 0, "b"), ("m", 1, 1, "a"), ("m", 0, 1, "a"), ("m", 0, 0, "a"),
+                                ("m", 2, 0, None)], "model string, label int, prediction int, s string")
+    got = {r["class"]: (r["dp_diff"], r["eo_diff"]) for r in evaluate.fairness_long(df, "label", ["s"]).collect()}
+    assert got[1] == (pytest.approx(2 / 3), 1.0)
+    assert got[0] == (pytest.approx(2 / 3), 1.0)
+    assert got[2] == (0.0, 0.0)
+
+
+def test_unknown_model_name_raises(spark):
+    acc = spark.createDataFrame([("naive bayes", 0.5)], "model string, accuracy double")
+    fair = spark.createDataFrame([("naive bayes", 0.1, 0.1)], "model string, dp_diff double, eo_diff double")
+    with pytest.raises(Exception, match="no model type"):
+        evaluate.rank_models(acc, fair).collect()

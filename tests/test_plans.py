@@ -1,5 +1,8 @@
 """Plan checks: filters reach the scan, no Python UDF in relational operators,
 earliest-row is a pre-shuffle group limit, every query registered runs."""
+import re
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as E
@@ -24,12 +27,18 @@ def test_no_python_udf_in_relational(spark):
         assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
+def test_no_quantile_in_one_task():
+    """Quantiles come from ``functions/quantiles.py``: the built-in exact one holds all values in one task."""
+    for path in [p for d in ("functions", "operators", "plans") for p in Path(E.__file__).parent.joinpath("cohortlab", d).glob("*.py")]:
+        assert not re.search(r"\bpercentile\(", path.read_text()), path
+
+
 def test_earliest_is_group_limited(spark):
     from cohortlab.plans.queries import q_earliest
     q = q_earliest(spark, SF)
     q.collect()
     s = q._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in s or "AdaptiveSparkPlan" in s
+    assert "WindowGroupLimit" in s
 
 
 def test_entry_smoke(spark):
