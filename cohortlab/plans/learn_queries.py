@@ -29,6 +29,19 @@ def q_s1(spark, d):
     return IO.read_csv(spark, path, ORDERS_DDL)
 
 
+@register("csv_missing_marks", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN o_totalprice END AS price,
+       CASE WHEN o_orderkey % 4 IN (1, 3) THEN o_orderpriority END AS priority FROM orders""")
+def q_s1_missing(spark, d):
+    """Markers of missing values, in number and text columns, come back as null."""
+    path, kind = scratch_dir(spark, "csv_marks"), F.col("o_orderkey") % 4
+    mark = F.when(kind == 0, "NA").when(kind == 1, "NaN").when(kind == 2, "")
+    IO.write_csv(table(spark, d, "orders").select(
+        "o_orderkey", F.coalesce(mark, F.col("o_totalprice").cast("string")).alias("price"),
+        F.when(kind == 0, "null").when(kind == 2, "N/A").otherwise(F.col("o_orderpriority")).alias("priority")), path)
+    return IO.read_csv(spark, path)
+
+
 @register("csv_directory", """
 SELECT 'customer' AS name, count(*) AS n_rows FROM customer UNION ALL
 SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'region', count(*) FROM region""")
@@ -36,14 +49,7 @@ def q_s2(spark, d):
     """Every CSV file of a folder becomes its own table (name order)."""
     base = scratch_dir(spark, "csv_dir")
     for t in ["region", "nation", "customer"]:
-        table(spark, d, t).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/{t}_parts")
-    # one CSV file per table at the top of the folder, as the reference expects
-    jvm = spark.sparkContext._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for t in ["region", "nation", "customer"]:
-        parts = [s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/{t}_parts"))
-                 if s.getPath().getName().endswith(".csv")]
-        fs.rename(parts[0], jvm.org.apache.hadoop.fs.Path(f"{base}/{t}.csv"))
+        IO.write_csv(table(spark, d, t), f"{base}/{t}.csv")
     tables = IO.read_csv_dir(spark, base)
     out = None
     for name, df in tables.items():

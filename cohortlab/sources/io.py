@@ -3,41 +3,68 @@
 from __future__ import annotations
 
 import datetime as _dt
-import logging
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-log = logging.getLogger("cohortlab.io")
-
-
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Header CSV; empty field -> null. Pass a schema for known tables
-    (``inferSchema`` costs an extra pass); failures are logged and re-raised."""
-    try:
-        r = spark.read.option("header", True).option("mode", "PERMISSIVE")
-        r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-        return r.csv(path)
-    except Exception:
-        log.exception("could not read %s", path)
-        raise
+# What pandas reads as missing.
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+           "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def _inferred(text: DataFrame) -> dict[str, str]:
+    """The narrowest type that every value of a column has, from one pass over a table of strings."""
+    tries = {"bigint": lambda c: c.try_cast("bigint"), "double": lambda c: c.try_cast("double"),
+             "boolean": lambda c: c.try_cast("boolean"), "date": lambda c: F.when(F.char_length(c) <= 10, c.try_cast("date")),
+             "timestamp_ntz": lambda c: c.try_cast("timestamp_ntz")}
+    cols = [F.col(f"`{c}`") for c in text.columns]
+    n = text.agg(*[F.struct(F.count(c).alias("all"), *[F.count(t(c)).alias(k) for k, t in tries.items()]).alias(f"c{i}")
+                   for i, c in enumerate(cols)]).first()
+    fits = lambda r: next((k for k in tries if r["all"] and r[k] == r["all"]), "string")
+    return {c: fits(n[i]) for i, c in enumerate(text.columns)}
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+             missing: tuple[str, ...] = MISSING, bad: str = "fail") -> DataFrame:
+    """Header CSV (a file, or a folder of part files); fields in ``missing`` are null, in text columns too.
+
+    Pass a schema for known tables: without one, types are found in an extra
+    pass. A field that does not fit its type raises when it is read
+    (``bad='fail'``) or is null (``bad='null'``).
+    """
+    if bad not in ("fail", "null"):
+        raise ValueError("bad must be 'fail' or 'null'")
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    reader = spark.read.option("header", True)
+    if schema is not None:
+        reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema]))
+    raw = reader.csv(path)
+    text = raw.select(*[F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    types = {f.name: f.dataType for f in schema} if schema is not None else _inferred(text)
+
+    def typed(name: str):
+        c = F.col(f"`{name}`")
+        value = c.try_cast(types[name])
+        if bad == "fail":
+            message = F.concat(F.lit(f"column {name}: bad field "), c)
+            value = F.when(c.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+        return value.alias(name)
+
+    return text.select(*[typed(c) for c in text.columns])
 
 
 def read_csv_dir(spark: SparkSession, path: str, schemas: dict | None = None) -> dict[str, DataFrame]:
-    """Every ``*.csv`` below ``path`` as its own table, in name order
-    (schemas differ, so no glob union). Listing goes through Hadoop's
-    file system, so it works on any cluster store."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().endswith(".csv"))
-    out = {}
-    for n in names:
-        stem = n[:-4]
-        out[stem] = read_csv(spark, f"{path.rstrip('/')}/{n}", (schemas or {}).get(stem))
-    return out
+    """Every ``*.csv`` below ``path``, a file or a folder of part files, as its own table, in
+    name order (schemas differ, so no glob union). Spark lists the folder and reads no content for it."""
+    base = path.rstrip("/")
+    files = spark.read.format("binaryFile").load(f"{base}/*.csv").select("path")
+    below = F.element_at(F.split("path", re.escape(base.split("://")[-1] + "/"), 2), -1)
+    names = files.select(F.element_at(F.split(below, "/"), 1).alias("name")).distinct().orderBy("name").collect()
+    return {r["name"][:-4]: read_csv(spark, f"{base}/{r['name']}", (schemas or {}).get(r["name"][:-4])) for r in names}
 
 
 def read_json(spark: SparkSession, path: str, schema=None) -> DataFrame:
