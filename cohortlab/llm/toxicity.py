@@ -2,19 +2,22 @@
 
 Two zstandard dictionaries are trained on bounded samples of labelled texts.
 Both hold the same ordinary part, trained on ordinary windows; the toxic one
-adds toxic words: words of toxic texts whose first bytes are many times
-commoner there than in ordinary texts. The ordinary one adds as many bytes of
-ordinary text instead, so on ordinary windows the two compress about alike.
-
-A text is cut into overlapping windows, each compressed with either
-dictionary. The differences of the two lengths, summed up over all windows of
-the whole text (mean, largest, share of windows above each of some thresholds),
-are calibrated by a logistic fit on labelled rows that the dictionaries have
-not seen.
+adds toxic words: words that begin with a stem which follows many more
+different words in toxic texts than in ordinary ones. (Counting what stands
+before a stem, not how often it stands there, keeps the own words of a text
+with many copies out.) The ordinary one adds as many bytes of ordinary text
+instead, so on ordinary windows the two compress about alike.
+
+A text is cut into overlapping windows of whole words, each compressed with
+either dictionary. The differences of the two lengths over all windows of the
+whole text (the largest ones, number and share of windows above each of some
+thresholds) are calibrated by a logistic fit on labelled rows that the
+dictionaries have not seen.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from dataclasses import dataclass
 
@@ -28,9 +31,9 @@ from cohortlab.llm.common import arrow_map, checkpointed
 WINDOW, STEP = 48, 24
 # Length differences (bytes) whose shares of windows are counted.
 THRESHOLDS = (1, 2, 3, 4, 5, 6, 8, 10)
-N_FEATURES = len(THRESHOLDS) + 6
-# Bytes by which a toxic word is known: a space and the next four.
-STEM = 5
+N_FEATURES = 2 * len(THRESHOLDS) + 8
+# Bytes by which a toxic word is known: a space and the next four to eight.
+STEMS = (5, 6, 7, 8, 9)
 
 
 def normal(text: str | None) -> bytes:
@@ -39,7 +42,16 @@ def normal(text: str | None) -> bytes:
 
 
 def windows(line: bytes, size: int = WINDOW, step: int = STEP) -> list[bytes]:
-    return [line[i:i + size] for i in range(0, max(1, len(line) - size + step), step)]
+    """Overlapping runs of whole words, of ``size`` bytes or as many more as the
+    last word needs; a word that goes on beyond twice as many is cut there."""
+    out, at = [], 0
+    while True:
+        end = line.find(b" ", at + size, at + 2 * size) + 1 or at + 2 * size
+        out.append(line[at:end])
+        if end >= len(line):
+            return out
+        after = line.find(b" ", at + step, at + 2 * step)
+        at = after if after >= 0 else at + step
 
 
 @dataclass
@@ -63,34 +75,46 @@ class Dictionaries:
         return out
 
 
-def train_dictionaries(texts: list[str], toxic: list[int], base_bytes: int = 32768, word_bytes: int = 6000,
-                       ratio: float = 6.0, min_docs: int = 3, per_stem: int = 24, seed: int = 5) -> Dictionaries | None:
+def toxic_stems(toxic: set, ordinary: set, ratio: float, evidence: float, min_contexts: int) -> dict[bytes, float]:
+    """Stems with the evidence (twice the log-likelihood ratio) that they are
+    commoner after toxic words than ordinary ones; both sets hold (word before, word)."""
+    n_bad, n_fine = len(toxic), len(ordinary)
+    bad = Counter(w[:k] for _, w in toxic for k in STEMS if len(w) >= k)
+    bad = {s: n for s, n in bad.items() if n >= min_contexts}
+    fine = Counter(s for _, w in ordinary for k in STEMS if len(w) >= k and (s := w[:k]) in bad)
+    out = {}
+    for s, n in bad.items():
+        m = fine[s]
+        if n * n_fine > ratio * (m + 1) * n_bad:
+            expected = (n + m) * n_bad / (n_bad + n_fine)
+            g = 2 * (n * math.log(n / expected) + (m * math.log(m / (n + m - expected)) if m else 0.0))
+            if g >= evidence:
+                out[s] = g
+    return out
+
+
+def train_dictionaries(texts: list[str], toxic: list[int], base_bytes: int = 32768, word_bytes: int = 6000, ratio: float = 6.0,
+                       evidence: float = 30.0, min_contexts: int = 3, per_stem: int = 24, seed: int = 5) -> Dictionaries | None:
     """Dictionaries of a bounded sample; None if it has too little of either kind."""
     import zstandard as zs
 
     rng = np.random.default_rng(seed)
-    bad, fine, in_docs, words = Counter(), Counter(), Counter(), Counter()
-    n_bad = n_fine = 0
+    seen: tuple[set, set] = (set(), set())
     pieces: list[bytes] = []
     for text, y in zip(texts, toxic):
         line = normal(text)
         own = [b" " + w for w in line.split()]
-        stems = Counter(w[:STEM] for w in own if len(w) >= STEM)
-        if y:
-            bad.update(stems)
-            in_docs.update(stems.keys())
-            n_bad += len(own)
-            words.update({w for w in own if len(w) >= STEM})
-        else:
-            fine.update(stems)
-            n_fine += len(own)
-            pieces += windows(line, 64, 128)
-    chosen = {s for s, c in bad.items() if in_docs[s] >= min_docs and c * max(1, n_fine) > ratio * (fine[s] + 1) * n_bad}
+        seen[1 if y else 0].update(zip([b""] + own[:-1], own))
+        if not y:
+            pieces += [line[i:i + 64] for i in range(0, max(1, len(line) - 64 + 128), 128)]
+    stems = toxic_stems(seen[1], seen[0], ratio, evidence, min_contexts)
+    words = Counter(w for _, w in seen[1])
     left, add = Counter(), []
     # By count, then bytes: a set has no order that would hold from run to run.
     for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0])):
-        if w[:STEM] in chosen and left[w[:STEM]] < per_stem:
-            left[w[:STEM]] += 1
+        stem = max(((stems[w[:k]], w[:k]) for k in STEMS if len(w) >= k and w[:k] in stems), default=(0.0, b""))[1]
+        if stem and left[stem] < per_stem:
+            left[stem] += 1
             add.append(w)
     if not add or len(pieces) < 100:
         return None
@@ -111,9 +135,11 @@ def train_dictionaries(texts: list[str], toxic: list[int], base_bytes: int = 327
 def features(text: str | None, toxic, ordinary) -> list[float]:
     ws = windows(normal(text))
     d = np.fromiter((len(ordinary(w)) - len(toxic(w)) for w in ws), np.float64, len(ws))
-    s = np.sort(d)
-    n = np.log1p(len(d))
-    return [d.mean(), s[-1], s[-3:].mean(), *[(d >= t).mean() for t in THRESHOLDS], s[-max(1, len(s) // 20):].mean(), n, s[-1] * n]
+    top = np.concatenate([np.sort(d)[::-1][:5], np.zeros(5)])
+    above = np.array([(d >= t).sum() for t in THRESHOLDS])
+    n, one = np.log1p(len(d)), 1 / (len(d) + 1)
+    return [*np.log1p(above), *np.log(above / len(d) + one), top[0], top[1], top[2], top[4], n, n * n,
+            np.log((d < 0).mean() + one), d.mean()]
 
 
 def with_features(docs: DataFrame, dictionaries: Dictionaries, id_col: str, text_col: str) -> DataFrame:
@@ -139,7 +165,7 @@ class Calibration:
         return 1 / (1 + np.exp(-np.clip(z @ self.weight[:-1] + self.weight[-1], -30, 30)))
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> Calibration:
+def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> Calibration:
     """Logistic fit by Newton steps."""
     mean, scale = x.mean(0), x.std(0) + 1e-9
     a = np.hstack([np.clip((x - mean) / scale, -20, 20), np.ones((len(x), 1))])
@@ -188,7 +214,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         model = calibrate(np.array([r["x"] for r in fit]), y)
     else:  # nothing to calibrate on: a window that three bytes tell is toxic
         weight = np.zeros(N_FEATURES + 1)
-        weight[1], weight[-1] = 1.0, -3.0
+        weight[2 * len(THRESHOLDS)], weight[-1] = 1.0, -3.0
         model = Calibration(np.zeros(N_FEATURES), np.ones(N_FEATURES), weight)
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
