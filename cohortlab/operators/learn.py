@@ -18,6 +18,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlab.session import checkpointed
+
 # The reference's search grids (L2-L5, L7) and the sensitivity axis.
 SVM_GRID = {"C": [0.1, 1, 10], "kernel": ["linear", "rbf"], "gamma": ["scale", "auto"]}
 RF_GRID = {"n_estimators": [50, 100, 200], "max_depth": [10, 20, 30], "min_samples_split": [2, 5],
@@ -65,7 +67,7 @@ def estimator(kind: str, n_rows: int = 1, **p):
     if kind == "logistic_regression":
         c = p.get("C", 1.0)
         return LogisticRegression(family="multinomial", elasticNetParam=0.0, regParam=1.0 / (max(n_rows, 1) * c),
-                                  standardization=False, maxIter=p.get("maxIter", 100))
+                                  standardization=False, maxIter=p.get("maxIter", 500))
     raise ValueError(kind)
 
 
@@ -124,32 +126,37 @@ def feature_importance(model, names: Sequence[str], k: int = 10, spark=None) ->
 def permutation_importance(model, df: DataFrame, feature_cols: Sequence[str], label: str = "label",
                            seed: int = 42) -> DataFrame:
     """L9 (re-aim of the SHAP summaries): accuracy drop when one feature is
-    shuffled. The shuffle pairs every row with the row of the next hash
-    rank (a join on rank, no collect). Not SHAP values.
+    shuffled. Every row takes the feature of the row of the next hash rank: one
+    join gives each row its donor, then a row is scored once as it is and once
+    per feature, and only counts leave the task. Not SHAP values. Features
+    hold no nulls; an empty table gives null importances.
     """
     from cohortlab.operators.relational import with_row_index
-    ev = MulticlassClassificationEvaluator(metricName="accuracy", labelCol=label)
-    base_df = df.withColumn("__h", F.xxhash64(*feature_cols, F.lit(seed)))
-    base_df = with_row_index(base_df, ["__h"] + list(feature_cols[:1]), "__r").cache()
-    n = base_df.count()
-    base_acc = ev.evaluate(model.transform(assemble(base_df, feature_cols)))
-    out = []
-    for c in feature_cols:
-        donor = base_df.select(((F.col("__r") + 1) % n).alias("__r"), F.col(c).alias("__v"))
-        shuffled = base_df.join(donor, "__r").withColumn(c, F.col("__v")).drop("__v")
-        acc = ev.evaluate(model.transform(assemble(shuffled, feature_cols)))
-        out.append((c, base_acc - acc))
-    base_df.unpersist()
+    p = len(feature_cols)
+    x = F.array(*[F.col(c).cast("double") for c in feature_cols])
+    rows = df.select(F.col(label).alias("label"), x.alias("__x"), F.xxhash64(*feature_cols, F.lit(seed)).alias("__h"))
+    ranked = checkpointed(with_row_index(rows, ["__h", "label"], "__r").drop("__h"))
+    n = max(ranked.count(), 1)
+    donor = ranked.select(((F.col("__r") + 1) % n).alias("__to"), F.col("__x").alias("__d"))
+    # The lowest rank is 0 or 1, so ranks are compared modulo n.
+    pairs = ranked.join(donor, (F.col("__r") % n) == F.col("__to"))
+    each = pairs.select("label", "__x", "__d", F.explode(F.sequence(F.lit(0), F.lit(p))).alias("__f"))
+    # Feature p does not exist: the row as it is.
+    swapped = F.transform("__x", lambda v, i: F.when(i == F.col("__f"), F.element_at("__d", i + 1)).otherwise(v))
+    scored = model.transform(each.select("label", "__f", array_to_vector(swapped).alias("features")))
+    hit = (F.col("prediction") == F.col("label")).cast("double")
+    acc = dict(scored.groupBy("__f").agg(F.avg(hit).alias("a")).collect())
+    out = [(c, acc[p] - acc[i] if p in acc else None) for i, c in enumerate(feature_cols)]
     return df.sparkSession.createDataFrame(out, "feature string, importance double")
 
 
 def sensitivity_curve(train: DataFrame, test: DataFrame, trees: Sequence[int] = SENSITIVITY_TREES,
-                      label: str = "label") -> DataFrame:
-    """Weighted F1 on ``test`` for forests of each size."""
+                      label: str = "label", max_depth: int = 30) -> DataFrame:
+    """Weighted F1 on ``test`` for forests of each size, as deep as Spark allows."""
     ev = MulticlassClassificationEvaluator(metricName="f1", labelCol=label)
     rows = []
     for t in trees:
-        m = RandomForestClassifier(numTrees=t, seed=42, labelCol=label).fit(train)
+        m = RandomForestClassifier(numTrees=t, maxDepth=max_depth, seed=42, labelCol=label).fit(train)
         rows.append(("n_estimators", float(t), ev.evaluate(m.transform(test))))
     return train.sparkSession.createDataFrame(rows, "param string, value double, f1 double")
 

@@ -93,7 +93,7 @@ def q_l6(spark, d):
     rows = []
     runs = scratch_dir(spark, "runs")
     for name, kind, params in [("Logistic Regression", "logistic_regression", {}),
-                               ("Random Forest", "random_forest", {"n_estimators": 100, "max_depth": 10}),
+                               ("Random Forest", "random_forest", {"n_estimators": 100}),
                                ("SVM", "svm", {}), ("XGBoost", "xgboost", {"n_estimators": 20})]:
         model = L.fit_pipeline([L.estimator(kind, train.count(), **params)], train)
         path = scratch_dir(spark, f"model_{kind}")
@@ -122,7 +122,7 @@ def q_l1(spark, d):
 def q_l8(spark, d):
     """Forest importances, top 10 features."""
     train, _ = _split(spark, d)
-    m = L.estimator("random_forest", n_estimators=100, max_depth=10).fit(train)
+    m = L.estimator("random_forest", n_estimators=100).fit(train)
     return L.feature_importance(m, [f"f{i}" for i in range(64)], 10, spark)
 
 
@@ -135,11 +135,11 @@ def q_l10(spark, d):
 
 @register("permutation_importance")
 def q_l9(spark, d):
-    """Accuracy drop per shuffled feature (re-aim of the SHAP summaries)."""
-    e = table(spark, d, "embeddings")
-    cols = [f"f{i}" for i in range(8)]
-    flat = e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
-    m = L.estimator("random_forest", n_estimators=50, max_depth=10).fit(L.assemble(flat, cols))
+    """Accuracy drop on the test split per shuffled feature (re-aim of the SHAP summaries)."""
+    train, test = _split(spark, d)
+    cols = [f"f{i}" for i in range(64)]
+    m = L.estimator("random_forest", n_estimators=100).fit(train)
+    flat = test.select("label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
     return L.permutation_importance(m, flat, cols)
 
 
@@ -186,5 +186,6 @@ def q_e8(spark, d):
 @register("isolation_forest_outliers")
 def q_x3(spark, d):
     """Isolation-forest scores per column, top 10 % replaced by the median."""
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    return isolation_forest_to_median(li, ["l_extendedprice"], 0.1, n_trees=50)
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *cols)
+    return isolation_forest_to_median(li, cols, 0.1)
