@@ -1,17 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits, lower-cased, known by a 64-bit hash.
-Each test item gives its word n-grams. A first pass over the training texts
-counts in how many documents each of these n-grams stands; the rare ones of
-each item are its seeds. A second pass cuts the windows around seeds out of
-the texts; seeds join windows to items, and a local alignment scores each
-window against the item. Edited and paraphrased copies keep some seeds and
-align with a few gaps and mismatches.
-
-The passes look n-grams up in a bitmap of a fixed size (2 MB) that Spark
+Each test item gives its word n-grams, all of which are seeds, however many
+documents hold them: an edited or partial copy of an item that is copied very
+often has no n-grams but frequent ones. One pass over the training texts cuts
+the windows around seeds out; seeds join windows to items, and a local
+alignment scores each window against each item it shares a seed with. Edited
+and paraphrased copies keep some seeds and align with a few gaps and
+mismatches. Pairs with too few words in common to reach the score are not
+aligned, which loses none.
+
+The pass looks n-grams up in a bitmap of a fixed size (2 MB) that Spark
 builds from the items, however many there are; false hits go at the exact
 join. So nothing that grows with either table is collected or broadcast, and
-only n-grams of items leave the scan.
+only windows around n-grams of items leave the scan.
 """
 
 from __future__ import annotations
@@ -24,9 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from cohortlab.llm.common import arrow_map, checkpointed
+from cohortlab.llm.common import arrow_map, checkpointed, join_per_key
 
 # Words of a seed. Three survive an edit of every fourth word.
 GRAM = 3
@@ -36,8 +37,8 @@ MAP_BITS = 24
 MATCH, MISMATCH, GAP = 2, -1, -1
 # Distinct words whose hash is remembered in a task (the table starts anew when full).
 KNOWN_WORDS = 300_000
-# Windows aligned at a time.
-ALIGN = 64
+# Windows aligned at a time, and their words together (or one window of any length).
+ALIGN, ALIGN_WORDS = 64, 1 << 17
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -109,31 +110,6 @@ def _in_map(grams: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def document_counts(docs: DataFrame, bits: np.ndarray, n: int) -> DataFrame:
-    """(gram, n_docs) for the n-grams of ``docs`` (doc_id, text) that the bitmap
-    lets through. Tasks count for themselves first."""
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        known, got = _known(), []
-        for t in b.column(1).to_pylist():
-            g = gram_hashes(word_hashes(t, known), n)
-            got.append(np.unique(g[_in_map(g, bits)]))
-        grams, counts = np.unique(np.concatenate(got) if got else np.zeros(0, np.uint64), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts.astype(np.int64))], names=["gram", "n"])
-
-    return arrow_map(docs, run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n_docs"))
-
-
-def rare_seeds(grams: DataFrame, counts: DataFrame, rare_docs: int) -> DataFrame:
-    """(item_id, gram): of each item's n-grams that stand in the texts at all,
-    those in at most ``rare_docs`` documents or not above the item's own median.
-    The median keeps seeds for an item copied into very many documents, all of
-    whose n-grams are frequent."""
-    present = grams.join(counts, "gram")
-    middle = F.percentile("n_docs", 0.5).over(W.partitionBy("item_id"))  # as many rows as an item has words
-    return (present.withColumn("middle", middle).where(F.col("n_docs") <= F.greatest(F.lit(float(rare_docs)), "middle"))
-            .select("item_id", "gram"))
-
-
 def windows(docs: DataFrame, bits: np.ndarray, n: int, reach: int) -> DataFrame:
     """(doc_id, start, words, hits): stretches of ``reach`` words to both sides
     of seed n-grams, those that overlap taken together."""
@@ -180,6 +156,23 @@ def smith_waterman(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray
     return best, stop
 
 
+def most_matches(a: np.ndarray, b: np.ndarray) -> int:
+    """No alignment of ``a`` and ``b`` has more matching words than this."""
+    return int(min(np.isin(a, b).sum(), np.isin(b, a).sum()))
+
+
+def align_batches(order: list[int], size: list[int]) -> Iterator[list[int]]:
+    """``order``, of rising ``size``, in runs that fit ``ALIGN`` and ``ALIGN_WORDS``."""
+    ks: list[int] = []
+    for k in order:
+        if ks and (len(ks) == ALIGN or (len(ks) + 1) * size[k] > ALIGN_WORDS):
+            yield ks
+            ks = []
+        ks.append(k)
+    if ks:
+        yield ks
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text", gram: int = GRAM, rare_docs: int = 20,
                  min_score: float = 0.5, min_words: int = 25) -> DataFrame:
@@ -192,33 +185,40 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     in the document. Null or empty texts and items shorter than ``gram`` words
     match nothing; rows that repeat an id are one document, rows with a null
     id are examined and reported with a null id; items that repeat an id are
-    one item with several texts. Other columns are not used.
+    one item with several texts. Other columns are not used. ``rare_docs`` has
+    no effect any more: n-grams are seeds in however many documents they stand.
+    The work grows with the pairs of a window and an item that share an n-gram.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     tests = checkpointed(item_grams(items, item_col, item_text, gram))
     grams = tests.select("item_id", F.explode("grams").alias("gram")).distinct()
     longest = tests.agg(F.max(F.size("words"))).first()[0] or 0
-    counts = document_counts(texts, bitmap(grams), gram)
-    seeds = checkpointed(rare_seeds(grams, counts, rare_docs))
-    found = checkpointed(windows(texts, bitmap(seeds), gram, longest).withColumn("mark", F.xxhash64("words"))
+    found = checkpointed(windows(texts, bitmap(grams), gram, longest).withColumn("mark", F.xxhash64("words"))
                          .dropDuplicates(["doc_id", "start", "mark"]))
     key = ["doc_id", "start", "mark"]
-    pairs = (found.select(*key, F.explode("hits").alias("gram")).join(seeds, "gram")
-             .select(*[F.col(c).alias(f"of_{c}") for c in key], "item_id").distinct())
+    # Neither a frequent n-gram nor an item with very many copies may meet in one task.
+    hits = found.select(*[F.col(c).alias(f"of_{c}") for c in key], F.explode("hits").alias("gram"))
+    holders = grams.groupBy("gram").agg(F.collect_list("item_id").alias("holders"))
+    by_gram = holders.join(hits.groupBy("gram").agg(F.count("*").alias("n")), "gram")
+    pairs = checkpointed(join_per_key(hits, by_gram, "gram")
+                         .select(*[f"of_{c}" for c in key], F.explode("holders").alias("item_id")).distinct())
+    texts_of = tests.groupBy("item_id").agg(F.collect_set("words").alias("texts"))
+    by_item = texts_of.join(pairs.groupBy("item_id").agg(F.count("*").alias("n")), "item_id")
+    named = join_per_key(pairs, by_item, "item_id").withColumn("words", F.explode("texts")).drop("texts")
     same = F.col("of_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("of_start") == F.col("start")) & (F.col("of_mark") == F.col("mark"))
-    both = (found.join(pairs, same).select("item_id", "doc_id", "start", F.col("words").alias("window"))
-            .join(tests.select("item_id", "words").distinct(), "item_id"))
+    windowed = found.select(*key, F.col("words").alias("window"))
+    both = windowed.join(named, same).select("item_id", "doc_id", "start", "window", "words")
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         item, doc, start = (b.column(k).to_pylist() for k in range(3))
         win, words = ([np.array(x.values, dtype=np.int64) for x in b.column(k)] for k in (3, 4))
         out = []
-        order = sorted(range(b.num_rows), key=lambda k: len(win[k]))
-        for at in range(0, len(order), ALIGN):
-            ks = order[at:at + ALIGN]
+        size = [len(w) for w in win]
+        enough = [min(min_score * MATCH * len(w), MATCH * min_words) for w in words]
+        able = (k for k in range(b.num_rows) if MATCH * most_matches(words[k], win[k]) >= enough[k])
+        for ks in align_batches(sorted(able, key=size.__getitem__), size):
             best, stop = smith_waterman([words[k] for k in ks], [win[k] for k in ks])
-            hit = [(k, s, int(e)) for k, s, e in zip(ks, best.tolist(), stop)
-                   if s >= min_score * MATCH * len(words[k]) or s >= MATCH * min_words]
+            hit = [(k, s, int(e)) for k, s, e in zip(ks, best.tolist(), stop) if s >= enough[k]]
             if hit:  # where it begins: the same alignment, read backwards from its end
                 _, back = smith_waterman([words[k][::-1] for k, _, _ in hit], [win[k][:e][::-1] for k, _, e in hit])
                 out += [(doc[k], item[k], s / (MATCH * len(words[k])), start[k] + e - int(r), start[k] + e)

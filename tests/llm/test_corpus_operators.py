@@ -330,6 +330,32 @@ def test_copies_edits_and_clean_documents(spark):
     assert decontaminate.contaminated(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_edited_and_cut_copies_next_to_very_many_exact_ones(spark):
+    rng = random.Random(8)
+    item = [f"w{k}" for k in rng.sample(range(5000), 60)]
+    noise = lambda n: [f"n{rng.randrange(3000)}" for _ in range(n)]
+    edited = [w if j % 4 < 3 else f"e{j}" for j, w in enumerate(item)]
+    other = [f"w{k}" for k in range(6000, 6040)]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(other))], "item_id long, text string")
+    for body, copies, place, score in ((edited, 1, (20, 79), (2 * 45 - 14) / 120), (edited, 500, (20, 79), (2 * 45 - 14) / 120),
+                                       (item[:28], 1, (20, 48), 56 / 120), (item[:28], 500, (20, 48), 56 / 120)):
+        rows = [(k, " ".join(noise(5) + item + noise(5))) for k in range(1000)]
+        rows += [(10_000 + k, " ".join(noise(20) + body + noise(20))) for k in range(copies)]
+        rows += [(30_000 + k, " ".join(noise(20) + item[k:k + 3] + noise(20))) for k in range(0, 25, 4)]  # a seed, and nothing else
+        got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+        assert set(got) == {(i, 1) for i, _ in rows if i < 30_000}
+        assert {(r["start_word"], r["end_word"], r["score"]) for (i, _), r in got.items() if i >= 10_000} == {(*place, score)}
+
+
+def test_word_bound_is_never_below_the_alignment():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a, b = (rng.integers(0, 12, rng.integers(1, 15)) for _ in range(2))
+        assert align(a.tolist(), b.tolist()) <= 2 * decontaminate.most_matches(a, b)
+    size = [1, 5, 1 << 16, 1 << 16, 1 << 16, 1 << 20]
+    assert list(decontaminate.align_batches(list(range(6)), size)) == [[0, 1], [2, 3], [4], [5]]
+
+
 def test_decontamination_query_against_exact_search(spark):
     d = "/root/testdata/sf0.01"
     norm = lambda t: " ".join(decontaminate._WORD.findall(t.lower()))
