@@ -1,15 +1,20 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on bounded samples of labelled texts.
-Both hold the same ordinary part, trained on ordinary windows; the toxic one
-adds toxic words: words that begin with a stem which follows many more
+Two pairs of zstandard dictionaries come from bounded samples of labelled texts.
+The first pair is trained: one dictionary on windows of all toxic texts, the
+other on as many windows of ordinary ones. It tells phrases and topics, also
+those made of ordinary words.
+
+The second pair tells words. Both of it hold the same ordinary part, trained on
+ordinary windows; the toxic one adds toxic words: words that begin with a stem which follows many more
 different words in toxic texts than in ordinary ones. (Counting what stands
 before a stem, not how often it stands there, keeps the own words of a text
 with many copies out.) The ordinary one adds as many bytes of ordinary text
 instead, so on ordinary windows the two compress about alike.
 
-A text is cut into overlapping windows of whole words, each compressed with
-either dictionary. The differences of the two lengths over all windows of the
+A text is cut into windows of whole words, long ones for the first pair and
+overlapping short ones for the second, each compressed with either
+dictionary of the pair. The differences of the two lengths over all windows of the
 whole text (the largest ones, number and share of windows above each of some
 thresholds) are calibrated by a logistic fit on labelled rows that the
 dictionaries have not seen.
@@ -29,9 +34,11 @@ from pyspark.sql import functions as F
 from cohortlab.llm.common import arrow_map, checkpointed
 
 WINDOW, STEP = 48, 24
+# Windows of the trained pair, which do not overlap.
+LONG = 128
 # Length differences (bytes) whose shares of windows are counted.
 THRESHOLDS = (1, 2, 3, 4, 5, 6, 8, 10)
-N_FEATURES = 2 * len(THRESHOLDS) + 8
+N_FEATURES = 2 * len(THRESHOLDS) + 8 + 5
 # Bytes by which a toxic word is known: a space and the next four to eight.
 STEMS = (5, 6, 7, 8, 9)
 
@@ -56,22 +63,26 @@ def windows(line: bytes, size: int = WINDOW, step: int = STEP) -> list[bytes]:
 
 @dataclass
 class Dictionaries:
-    """Raw dictionary contents; compressors are made once per batch of rows."""
+    """Raw contents of the pair with the toxic words and the trained pair;
+    compressors are made once per batch of rows."""
     toxic: bytes
     ordinary: bytes
+    toxic_trained: bytes
+    ordinary_trained: bytes
 
     def compressors(self):
         import zstandard as zs
 
-        size = max(len(self.toxic), len(self.ordinary))
-        params = zs.ZstdCompressionParameters.from_level(
-            3, source_size=WINDOW, dict_size=size, min_match=4, strategy=zs.STRATEGY_LAZY2, write_content_size=False,
-            write_checksum=False, write_dict_id=False, format=zs.FORMAT_ZSTD1_MAGICLESS)
         out = []
-        for content in (self.toxic, self.ordinary):
-            d = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(compression_params=params)
-            out.append(zs.ZstdCompressor(compression_params=params, dict_data=d).compress)
+        for pair, window, kind in (((self.toxic, self.ordinary), WINDOW, zs.DICT_TYPE_RAWCONTENT),
+                                   ((self.toxic_trained, self.ordinary_trained), LONG, zs.DICT_TYPE_AUTO)):
+            params = zs.ZstdCompressionParameters.from_level(
+                3, source_size=window, dict_size=max(map(len, pair)), min_match=4, strategy=zs.STRATEGY_LAZY2,
+                write_content_size=False, write_checksum=False, write_dict_id=False, format=zs.FORMAT_ZSTD1_MAGICLESS)
+            for content in pair:
+                d = zs.ZstdCompressionDict(content, dict_type=kind)
+                d.precompute_compress(compression_params=params)
+                out.append(zs.ZstdCompressor(compression_params=params, dict_data=d).compress)
         return out
 
 
@@ -93,53 +104,62 @@ def toxic_stems(toxic: set, ordinary: set, ratio: float, evidence: float, min_co
     return out
 
 
-def train_dictionaries(texts: list[str], toxic: list[int], base_bytes: int = 32768, word_bytes: int = 6000, ratio: float = 6.0,
-                       evidence: float = 30.0, min_contexts: int = 3, per_stem: int = 24, seed: int = 5) -> Dictionaries | None:
-    """Dictionaries of a bounded sample; None if it has too little of either kind."""
+def trained(samples: list[bytes], size: int) -> bytes:
+    """A dictionary trained on the samples; their bytes as they are if those are too few."""
     import zstandard as zs
 
+    try:
+        return zs.train_dictionary(size, samples).as_bytes()
+    except zs.ZstdError:
+        return b"".join(samples)[:size]
+
+
+def train_dictionaries(texts: list[str], toxic: list[int], base_bytes: int = 32768, pair_bytes: int = 4096, ratio: float = 6.0,
+                       evidence: float = 30.0, min_contexts: int = 3, seed: int = 5) -> Dictionaries | None:
+    """Dictionaries of a bounded sample; None if it has too little of either kind."""
     rng = np.random.default_rng(seed)
     seen: tuple[set, set] = (set(), set())
     pieces: list[bytes] = []
+    long: tuple[list[bytes], list[bytes]] = ([], [])
     for text, y in zip(texts, toxic):
         line = normal(text)
         own = [b" " + w for w in line.split()]
         seen[1 if y else 0].update(zip([b""] + own[:-1], own))
+        long[1 if y else 0].extend(windows(line, LONG, LONG))
         if not y:
             pieces += [line[i:i + 64] for i in range(0, max(1, len(line) - 64 + 128), 128)]
     stems = toxic_stems(seen[1], seen[0], ratio, evidence, min_contexts)
     words = Counter(w for _, w in seen[1])
-    left, add = Counter(), []
+    add = []
     # By count, then bytes: a set has no order that would hold from run to run.
     for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0])):
-        stem = max(((stems[w[:k]], w[:k]) for k in STEMS if len(w) >= k and w[:k] in stems), default=(0.0, b""))[1]
-        if stem and left[stem] < per_stem:
-            left[stem] += 1
+        if any(w[:k] in stems for k in STEMS if len(w) >= k):
             add.append(w)
-    if not add or len(pieces) < 100:
+    if not long[1] or len(pieces) < 100:
         return None
     # The commonest words come last, where a match costs least.
-    toxic_part = b"".join(reversed(add))[-word_bytes:] + b" "
+    toxic_part = b"".join(reversed(add)) + b" "
     order = rng.permutation(len(pieces))
     rest = max(1, len(pieces) // 20)
     filler = b"".join(pieces[i] for i in order[:rest])
     filler = (filler * (len(toxic_part) // max(1, len(filler)) + 1))[:len(toxic_part)]
     samples = [pieces[i] for i in order[rest:rest + 60_000] if len(pieces[i]) >= 8]
-    try:
-        base = zs.train_dictionary(base_bytes, samples).as_bytes()
-    except zs.ZstdError:  # too few samples to train on: their bytes as they are
-        base = b"".join(samples)[:base_bytes]
-    return Dictionaries(toxic_part + base, filler + base)
+    base = trained(samples, base_bytes)
+    fine = [long[0][i] for i in rng.permutation(len(long[0]))[:len(long[1])]]
+    return Dictionaries(toxic_part + base, filler + base, trained(long[1], pair_bytes), trained(fine, pair_bytes))
 
 
-def features(text: str | None, toxic, ordinary) -> list[float]:
-    ws = windows(normal(text))
+def features(text: str | None, toxic, ordinary, toxic_trained, ordinary_trained) -> list[float]:
+    line = normal(text)
+    ws, long = windows(line), windows(line, LONG, LONG)
+    t = np.fromiter((len(ordinary_trained(w)) - len(toxic_trained(w)) for w in long), np.float64, len(long))
+    best = np.concatenate([np.sort(t)[::-1][:3], np.full(3, t.min())])
     d = np.fromiter((len(ordinary(w)) - len(toxic(w)) for w in ws), np.float64, len(ws))
     top = np.concatenate([np.sort(d)[::-1][:5], np.zeros(5)])
     above = np.array([(d >= t).sum() for t in THRESHOLDS])
     n, one = np.log1p(len(d)), 1 / (len(d) + 1)
     return [*np.log1p(above), *np.log(above / len(d) + one), top[0], top[1], top[2], top[4], n, n * n,
-            np.log((d < 0).mean() + one), d.mean()]
+            np.log((d < 0).mean() + one), d.mean(), t.mean(), best[0], best[1], best[2], (t > 0).mean()]
 
 
 def with_features(docs: DataFrame, dictionaries: Dictionaries, id_col: str, text_col: str) -> DataFrame:
@@ -147,8 +167,8 @@ def with_features(docs: DataFrame, dictionaries: Dictionaries, id_col: str, text
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        toxic, ordinary = dictionaries.compressors()
-        x = [features(t, toxic, ordinary) for t in b.column(1).to_pylist()]
+        compressors = dictionaries.compressors()
+        x = [features(t, *compressors) for t in b.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
 
     return arrow_map(base, run, f"doc_id {dict(base.dtypes)['doc_id']}, x array<double>")

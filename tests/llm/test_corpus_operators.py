@@ -36,6 +36,23 @@ def test_toxicity_accuracy_and_folds(spark):
     assert held_out_accuracy(rows, read_labels(spark, SF), "toxic") >= 0.93
 
 
+def test_toxic_phrases_of_ordinary_words(spark):
+    rng = random.Random(2)
+    vocab = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8))) for _ in range(300)]
+    phrases = [rng.sample(vocab, 8) for _ in range(6)]
+    rows, y = [], {}
+    for k in range(600):
+        y[k] = int(k % 3 == 0)
+        said = [list(p) for p in rng.sample(phrases, 3)]
+        if not y[k]:
+            said = [rng.sample(p, 8) for p in said]  # the same words in another order
+        body = [w for p in said for w in [*rng.choices(vocab, k=10), *p]]
+        rows.append((k, " ".join(body)))
+    labels = spark.createDataFrame([(k, v) for k, v in y.items() if k < 450], "doc_id long, y int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.classify(docs(spark, rows), labels).collect()}
+    assert sum(got[k] == y[k] for k in range(450, 600)) >= 0.9 * 150
+
+
 def test_quality_accuracy_and_folds(spark):
     rows = queries.op3(spark, SF).collect()
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
