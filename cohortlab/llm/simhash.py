@@ -61,14 +61,17 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) per row, whole texts; a null or empty text has fingerprint zero."""
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    """(doc_id, fp) per row, whole texts; a null or empty text has fingerprint zero.
+    An id of several fields (a struct) stays one, any other is a long."""
+    kind = dict(docs.dtypes)[id_col]
+    kind = kind if kind.startswith("struct<") else "long"
+    base = docs.select(F.col(id_col).cast(kind).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         fp = [fingerprint(x, shingle) for x in b.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
 
-    return arrow_map(base, run, "doc_id long, fp long")
+    return arrow_map(base, run, f"doc_id {kind}, fp long")
 
 
 def covering(free: list[int], radius: int) -> list[int]:

@@ -34,18 +34,27 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of smallest id stays, once; rows without an id stay."""
-    groups = simhash.near_dedup(docs.select("doc_id", "text"), shingle=4, radius=4)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """Of each group of near duplicates the document of smallest id stays, once; rows
+    without an id stay. Rows that repeat an id but not its text are documents of
+    their own, the smaller hash of the text first."""
+    mark = free_name(docs, "__mark")
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    key = F.when(F.col("doc_id").isNotNull(), F.struct(F.col("doc_id").alias("id"), F.col(mark).alias("mark")))
+    groups = simhash.near_dedup(marked.select(key.alias("key"), "text"), id_col="key", shingle=4, radius=4)
+    first = groups.where("doc_id = component_id").select(F.col("doc_id.id").alias("keep_id"), F.col("doc_id.mark").alias("keep_mark")).distinct()
+    same = (marked["doc_id"] == first["keep_id"]) & (marked[mark] == first["keep_mark"])
+    kept = marked.join(first, same, "left_semi").dropDuplicates(["doc_id", mark])
+    return kept.unionByName(marked.where("doc_id is null")).select(*docs.columns)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a test item or an edited copy of one go."""
-    found = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    bad = found.select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti").select(*docs.columns)
+    """Documents that hold a test item or an edited copy of one go. Rows are known by a
+    hash of id and text, so others of the same id, or without an id, stay."""
+    row = free_name(docs, "__row")
+    marked = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    found = decontaminate.contaminated(marked.select(row, "text"), table(spark, sf_dir, "benchmark"), id_col=row)
+    bad = found.select(F.col("doc_id").alias("bad_row")).distinct()
+    return marked.join(bad, marked[row] == bad["bad_row"], "left_anti").select(*docs.columns)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -413,6 +413,22 @@ def test_pipeline_against_brute_force(spark, sf):
         assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
 
 
+def test_stages_keep_rows_that_share_an_id(spark, sf):
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    fresh = lambda: " ".join(f"q{rng.randrange(10**6)}" for _ in range(80))
+    copied, own, two, lone = fresh(), [fresh() for _ in range(8)], fresh(), fresh()
+    rows = [(3, copied)] + [(5 + k, copied) for k in range(8)] + [(5 + k, t) for k, t in enumerate(own)] + [(20, two), (20, two), (None, lone)]
+    out = corpus_pipeline.near_dup_stage(spark, docs(spark, rows), sf).collect()
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in out) == sorted(
+        [(3, copied), (20, two), (-1, lone)] + [(5 + k, t) for k, t in enumerate(own)])
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").first()["text"]
+    rows = [(1, item), (1, own[0]), (None, item), (None, own[1]), (2, own[2])]
+    out = corpus_pipeline.decontaminate_stage(spark, docs(spark, rows), sf).collect()
+    assert {(r["doc_id"], r["text"]) for r in out} == {(1, own[0]), (None, own[1]), (2, own[2])}
+
+
 def test_pipeline_stages_on_odd_rows(spark, sf):
     import corpus_pipeline
 
