@@ -10,7 +10,8 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm import ann, chat_format, decontaminate, html_blocks, line_dedup, pii, piece_bpe, quality, simhash, toxicity
+from cohortlab.llm import (ann, chat_format, decontaminate, exact_dedup, fill_middle, html_blocks, line_dedup, pii, piece_bpe, prefix_trie, quality,
+                           simhash, toxicity)
 from cohortlab.llm.common import labelled, remainder, table
 
 QUERIES: dict = {}
@@ -153,3 +154,82 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
 def op7(spark: SparkSession, d: str) -> DataFrame:
     vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
     return ann.search(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+TRIE_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+-- crc32 of the decimal id, eight bits a digit
+codes AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS head, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, c: list_reduce(list_prepend(xor(crc, c), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)), 4294967295::BIGINT) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+rebuilt AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS d FROM (
+    SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text FROM codes c JOIN t ON t.conv_id = c.head AND t.pos <= c.h
+    UNION ALL SELECT t.conv_id, 1, t.pos, t.role, t.text FROM t JOIN codes c ON t.conv_id = c.conv_id WHERE t.pos > c.h)),
+steps AS (
+  SELECT conv_id, d, sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY d)) AS key,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM rebuilt
+  UNION ALL SELECT conv_id, 0, '', 0 FROM codes),
+nodes AS (
+  SELECT d, key, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE d = n) AS ends
+  FROM (SELECT *, max(d) OVER (PARTITION BY conv_id) AS n FROM steps) GROUP BY d, key),
+links AS (SELECT DISTINCT a.d, a.key, b.key AS up FROM steps a JOIN steps b ON a.conv_id = b.conv_id AND b.d = a.d - 1),
+children AS (SELECT d - 1 AS d, up AS key, count(*) AS n_children FROM links GROUP BY 1, 2),
+below AS (
+  SELECT p.d, p.key, sum((y.n_convs - 1) * y.words) AS saved, count(*) FILTER (WHERE c.key IS NULL) AS n_leaves
+  FROM nodes y JOIN steps p ON p.conv_id = y.conv_id AND p.d <= y.d LEFT JOIN children c ON c.d = y.d AND c.key = y.key GROUP BY 1, 2)
+SELECT n.conv_id, n.d::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, b.n_leaves,
+  b.saved::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN below b ON b.d = n.d AND b.key = n.key LEFT JOIN children c ON c.d = n.d AND c.key = n.key
+LEFT JOIN links l ON l.d = n.d AND l.key = n.key LEFT JOIN nodes u ON u.d = n.d - 1 AND u.key = l.up"""
+
+
+@register("op11_prefix_trie", TRIE_SQL)
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.trie_of(*prefix_trie.with_shared_heads(prefix_trie.numbered(table(spark, d, "conversations"))))
+
+
+MIDDLE_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS toks,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
+drawn AS (
+  SELECT *, len(toks) AS n, ('0x' || d[1:8])::BIGINT AS h1, ('0x' || d[9:16])::BIGINT AS h2, ('0x' || d[17:24])::BIGINT AS h3,
+    ('0x' || d[25:32])::BIGINT AS h4 FROM cut),
+formed AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, array_to_string(toks[1:a], '') AS prefix, array_to_string(toks[a + 1:b], '') AS middle, array_to_string(toks[b + 1:], '') AS suffix FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts"""
+
+
+@register("op12_fill_in_middle", MIDDLE_SQL)
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    out = fill_middle.fill_in_middle(table(spark, d, "documents").select("doc_id", "text"), seed=1, rate=90, spm=20)
+    back = fill_middle.restore(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
+
+
+COPIES_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+
+@register("op13_exact_dedup", COPIES_SQL)
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    return exact_dedup.mark_copies(table(spark, d, "documents"))
