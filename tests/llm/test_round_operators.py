@@ -159,7 +159,11 @@ def test_counted_places_equal_the_tokens(text, draw):
 def test_chunks_are_set_by_content():
     rng = np.random.default_rng(1)
     shared = bytes(rng.integers(97, 123, 60_000, dtype=np.uint8))
-    cut = lambda data: [data[a:b] for a, b in zip([0, *(e := fill_middle.borders(data))], e)]
+
+    def cut(data):
+        ends = fill_middle.borders(data)
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
     one, two = cut(b"some head " + shared), cut(b"quite another head, longer than it " * 9 + shared)
     assert len(set(one) & set(two)) > 0.9 * len(one)
     assert b"".join(one) == b"some head " + shared and max(map(len, one)) <= fill_middle.MAX_CHUNK
