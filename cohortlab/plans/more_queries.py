@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortlab.functions import scalars as S
+from cohortlab.operators import knn as KN
 from cohortlab.operators import missing as M
 from cohortlab.operators import outliers as X
 from cohortlab.operators import relational as R
@@ -541,3 +542,78 @@ def q_x6(spark, d):
     li = _li_num(spark, d)
     rep = X.outlier_report(li.select(*LI_NUM), X.clean_outliers(li, LI_NUM, "zscore", 2.0).select(*LI_NUM))
     return _rounded(rep, ["Original_Mean", "Cleaned_Mean", "Original_Std", "Cleaned_Std"])
+
+
+# ---------------------------------------------------------------- M10
+
+# The part types in the order of their codes.
+PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+PART_CODES = ["size", "brand", "kind", "band"]
+
+
+def coded_parts(spark, d):
+    """``part`` as four coded columns with gaps of known shares."""
+    p, k = table(spark, d, "part"), F.col("p_partkey")
+    kind = F.array_position(F.array(*[F.lit(t) for t in PART_TYPES]), F.col("p_type")) - 1
+    return p.select("p_partkey", F.when(k % 7 != 0, F.col("p_size")).cast("double").alias("size"),
+                    F.when(k % 5 != 1, F.substring("p_brand", 7, 3).cast("int")).cast("double").alias("brand"),
+                    F.when(k % 11 > 2, kind).cast("double").alias("kind"),
+                    F.when(k % 35 != 21, F.floor("p_retailprice") % 4).cast("double").alias("band"))
+
+
+CODED_PARTS_SQL = f"""coded AS (
+  SELECT p_partkey, CAST(CASE WHEN p_partkey % 7 <> 0 THEN p_size END AS DOUBLE) AS size,
+    CAST(CASE WHEN p_partkey % 5 <> 1 THEN CAST(substr(p_brand, 7, 3) AS INTEGER) END AS DOUBLE) AS brand,
+    CAST(CASE WHEN p_partkey % 11 > 2 THEN list_position({PART_TYPES!r}, p_type) - 1 END AS DOUBLE) AS kind,
+    CAST(CASE WHEN p_partkey % 35 <> 21 THEN CAST(floor(p_retailprice) AS BIGINT) % 4 END AS DOUBLE) AS band FROM part)"""
+
+
+def _knn_sql(k: int) -> str:
+    both = " + ".join(f"CAST(r.{c} IS NOT NULL AND d.{c} IS NOT NULL AS INTEGER)" for c in PART_CODES)
+    squares = " + ".join(f"coalesce((r.{c} - d.{c}) * (r.{c} - d.{c}), 0.0)" for c in PART_CODES)
+    pairs = " UNION ALL ".join(
+        f"SELECT r.p_partkey, '{c}' AS col, 4.0 * ({squares}) / ({both}) AS d2, d.{c} AS v FROM coded r, coded d "
+        f"WHERE r.{c} IS NULL AND d.{c} IS NOT NULL AND ({both}) > 0" for c in PART_CODES)
+    fill = ", ".join(f"round(coalesce(c.{c}, max(v) FILTER (WHERE col = '{c}'), (SELECT avg({c}) FROM coded)), 6) AS {c}" for c in PART_CODES)
+    return f"""WITH {CODED_PARTS_SQL},
+pairs AS ({pairs}),
+rings AS (SELECT p_partkey, col, d2, count(*) AS n, avg(v) AS v FROM pairs GROUP BY 1, 2, 3),
+shares AS (SELECT *, least(n, greatest({k} - (sum(n) OVER (PARTITION BY p_partkey, col ORDER BY d2) - n), 0)) AS w FROM rings),
+vals AS (SELECT p_partkey, col, sum(v * w) / sum(w) AS v FROM shares WHERE w > 0 GROUP BY 1, 2)
+SELECT c.p_partkey, {fill} FROM coded c LEFT JOIN vals x ON x.p_partkey = c.p_partkey
+GROUP BY c.p_partkey, {', '.join('c.' + c for c in PART_CODES)}"""
+
+
+@register("knn_impute", _knn_sql(5))
+def q_m10(spark, d):
+    """Gaps of four coded columns filled by the mean of the five nearest donors."""
+    return _rounded(KN.nearest_fill(coded_parts(spark, d), PART_CODES, 5), PART_CODES)
+
+
+_LINE_CODES = ["line", "tax", "status"]
+
+
+@register("knn_impute_dense", f"""WITH {GAPPY_LINEITEM_SQL.strip()},
+coded AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(line AS DOUBLE) AS line, round(tax * 100) AS tax,
+  CAST(CASE status WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS DOUBLE) AS status FROM gappy),
+prof AS (SELECT line, tax, status, count(*) AS n FROM coded GROUP BY 1, 2, 3),
+pairs AS (""" + " UNION ALL ".join(
+    f"SELECT r.line, r.tax, r.status, '{c}' AS col, d.n, d.{c} AS v, 3.0 * (" + " + ".join(
+        f"coalesce((r.{x} - d.{x}) * (r.{x} - d.{x}), 0.0)" for x in _LINE_CODES) + ") / nullif(" + " + ".join(
+        f"CAST(r.{x} IS NOT NULL AND d.{x} IS NOT NULL AS INTEGER)" for x in _LINE_CODES)
+    + f", 0) AS d2 FROM prof r, prof d WHERE r.{c} IS NULL AND d.{c} IS NOT NULL" for c in _LINE_CODES) + """),
+rings AS (SELECT line, tax, status, col, d2, sum(n) AS n, sum(v * n) / sum(n) AS v FROM pairs WHERE d2 IS NOT NULL GROUP BY 1, 2, 3, 4, 5),
+shares AS (SELECT *, least(n, greatest(5 - (sum(n) OVER (PARTITION BY line, tax, status, col ORDER BY d2) - n), 0)) AS w FROM rings),
+vals AS (SELECT line, tax, status, """ + ", ".join(
+    f"sum(v * w) FILTER (WHERE col = '{c}') / sum(w) FILTER (WHERE col = '{c}') AS new_{c}" for c in _LINE_CODES) + """
+  FROM shares WHERE w > 0 GROUP BY 1, 2, 3)
+SELECT c.l_orderkey, c.l_linenumber, c.l_partkey, c.l_suppkey, """ + ", ".join(
+    f"round(coalesce(c.{c}, new_{c}, (SELECT avg({c}) FROM coded)), 6) AS {c}" for c in _LINE_CODES) + """
+FROM coded c LEFT JOIN vals v ON """ + " AND ".join(f"c.{c} IS NOT DISTINCT FROM v.{c}" for c in _LINE_CODES))
+def q_m10_dense(spark, d):
+    """M10 on many rows of few profiles: a profile is searched for once, however many rows have it."""
+    g = gappy_lineitem(spark, d)
+    coded = g.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("line").cast("double").alias("line"),
+                     F.round(F.col("tax") * 100).alias("tax"),
+                     F.when(F.col("status") == "F", 0.0).when(F.col("status") == "O", 1.0).alias("status"))
+    return _rounded(KN.nearest_fill(coded, _LINE_CODES, 5), _LINE_CODES)
