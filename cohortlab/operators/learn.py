@@ -7,17 +7,20 @@ where an equivalent exists (see the table in the README).
 
 from __future__ import annotations
 
+import itertools
 from typing import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.param import Params
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlab.operators.kernel import RbfFeatures
 from cohortlab.session import checkpointed
 
 # The reference's search grids (L2-L5, L7) and the sensitivity axis.
@@ -30,6 +33,8 @@ LR_GRID = {"C": [0.1, 1, 10], "solver": ["liblinear", "saga"]}
 RF_F1_GRID = {"n_estimators": [50, 100, 150], "max_depth": [None, 10, 20], "min_samples_split": [2, 5, 10],
               "min_samples_leaf": [1, 2, 4]}
 SENSITIVITY_TREES = [10, 50, 100, 150, 200]
+# Rows that one task of an iterative fit holds at least.
+ROWS_PER_TASK = 10_000
 
 
 def with_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
@@ -46,16 +51,22 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
 def estimator(kind: str, n_rows: int = 1, **p):
     """The four classifiers with reference parameter names mapped.
 
-    * SVM: ``OneVsRest(LinearSVC(regParam = 1 / (n C)))``; rbf needs a
-      random-feature transform first (``rbf_features``).
+    * SVM: ``OneVsRest(LinearSVC(regParam = 1 / (n C)))``; ``kernel='rbf'`` puts ``RbfFeatures`` (with ``gamma`` and
+      ``n_features``) in front of it, as a pipeline.
     * forest: ``numTrees``, ``maxDepth`` (None -> 30), ``minInstancesPerNode``
       = min_samples_leaf (Spark has no min-split parameter).
     * boosting: ``OneVsRest(GBTClassifier(maxDepth, stepSize, maxIter, subsamplingRate))``.
     * logistic: multinomial, ``regParam = 1 / (n C)``, no standardisation.
     """
     if kind == "svm":
-        c = p.get("C", 1.0)
-        return OneVsRest(classifier=LinearSVC(regParam=1.0 / (max(n_rows, 1) * c), maxIter=p.get("maxIter", 50)))
+        kernel = p.get("kernel", "linear")
+        if kernel not in ("linear", "rbf"):
+            raise ValueError(f"unknown kernel {kernel}")
+        machine = LinearSVC(regParam=1.0 / (max(n_rows, 1) * p.get("C", 1.0)), maxIter=p.get("maxIter", 50))
+        if kernel == "linear":
+            return OneVsRest(classifier=machine)
+        mapped = RbfFeatures(inputCol="features", outputCol="rbf", gamma=p.get("gamma", "scale"), numFeatures=p.get("n_features", 128), seed=42)
+        return Pipeline(stages=[mapped, OneVsRest(classifier=machine.setFeaturesCol("rbf"), featuresCol="rbf")])
     if kind == "random_forest":
         depth = p.get("max_depth") or 30
         return RandomForestClassifier(numTrees=p.get("n_estimators", 100), maxDepth=min(depth, 30),
@@ -71,43 +82,50 @@ def estimator(kind: str, n_rows: int = 1, **p):
     raise ValueError(kind)
 
 
-def grid_search(train: DataFrame, kind: str, grid: dict, folds: int = 3, metric: str = "accuracy",
+def _signature(stage) -> str:
+    """The parameters of an estimator and of those inside it; equal for estimators that fit the same."""
+    if isinstance(stage, list):
+        return repr([_signature(x) for x in stage])
+    if isinstance(stage, Params):
+        return type(stage).__name__ + repr(sorted((k.name, _signature(v)) for k, v in stage.extractParamMap().items()))
+    return repr(stage)
+
+
+def grid_points(kind: str, grid: dict, n_rows: int) -> tuple[list[dict], list[int]]:
+    """All points of a grid in order, and for each the position of the first one that fits the same
+    (axes that Spark has not got, and ``gamma`` of a linear machine, change nothing)."""
+    points = [dict(zip(grid, v)) for v in itertools.product(*grid.values())]
+    first: dict[str, int] = {}
+    return points, [first.setdefault(_signature(estimator(kind, n_rows, **pt)), i) for i, pt in enumerate(points)]
+
+
+def grid_scores(train: DataFrame, kind: str, grid: dict, folds: int = 3, metric: str = "accuracy",
                 fold_col: str | None = None, parallelism: int = 4):
-    """Cross-validated grid search, best refit on all training rows.
+    """Cross-validated grid search: ``(best model, refit on all training rows; [(point, mean metric)] of all points)``.
 
-    ``fold_col`` (D6 stratified folds) keeps the folds exact and
-    reproducible; otherwise Spark's random folds.
+    ``fold_col`` (D6 stratified folds) keeps the folds exact and reproducible; otherwise Spark's random folds.
+    Points that fit the same are fitted once and share their metric. The best is the first of those with the largest.
     """
-    n = train.count()
-    keys = list(grid)
-    import itertools
-    points = [dict(zip(keys, v)) for v in itertools.product(*[grid[k] for k in keys])]
-    # Collapse axes Spark cannot express (min_samples_split, solver, rbf gamma): identical estimators.
-    seen, unique = set(), []
-    for pt in points:
-        est = estimator(kind, n, **pt)
-        sig = repr(sorted((k.name, str(v)) for k, v in est.extractParamMap().items() if k.name != "classifier")) + \
-            (repr(sorted((k.name, str(v)) for k, v in est.getClassifier().extractParamMap().items()))
-             if isinstance(est, OneVsRest) else "")
-        if sig not in seen:
-            seen.add(sig)
-            unique.append(pt)
-    base = estimator(kind, n, **unique[0])
-    builder = ParamGridBuilder()
-    maps = []
-    for pt in unique:
-        est = estimator(kind, n, **pt)
-        if isinstance(est, OneVsRest):
-            maps.append({base.classifier: est.getClassifier()})
-        else:
-            maps.append({getattr(base, k.name): v for k, v in est.extractParamMap().items()
-                         if k.name not in ("seed",) and base.hasParam(k.name)})
+    points, same = grid_points(kind, grid, n := train.count())
+    # A fit of many short iterations is bound by its task launches: a small table takes few tasks.
+    train = train.coalesce(max(1, -(-n // ROWS_PER_TASK)))
+    base = Pipeline(stages=[])
+    unique = sorted(set(same))
+    maps = [{base.stages: [estimator(kind, n, **points[i])]} for i in unique]
     ev = MulticlassClassificationEvaluator(metricName="f1" if metric == "f1" else "accuracy")
     cv = CrossValidator(estimator=base, estimatorParamMaps=maps, evaluator=ev, numFolds=folds,
                         parallelism=parallelism, seed=42, **({"foldCol": fold_col} if fold_col else {}))
     model = cv.fit(train)
-    best = int(max(range(len(model.avgMetrics)), key=lambda i: (model.avgMetrics[i], -i)))
-    return model.bestModel, unique[best], list(model.avgMetrics)
+    got = dict(zip(unique, model.avgMetrics))
+    return model.bestModel, [(pt, float(got[i])) for pt, i in zip(points, same)]
+
+
+def grid_search(train: DataFrame, kind: str, grid: dict, folds: int = 3, metric: str = "accuracy",
+                fold_col: str | None = None, parallelism: int = 4):
+    """``grid_scores`` as (best model, best point, metrics of all points)."""
+    model, scores = grid_scores(train, kind, grid, folds, metric, fold_col, parallelism)
+    metrics = [m for _, m in scores]
+    return model, scores[metrics.index(max(metrics))][0], metrics
 
 
 def predict(model, df: DataFrame) -> DataFrame:
@@ -161,21 +179,6 @@ def sensitivity_curve(train: DataFrame, test: DataFrame, trees: Sequence[int] =
     return train.sparkSession.createDataFrame(rows, "param string, value double, f1 double")
 
 
-def rbf_features(df: DataFrame, col: str, n_features: int, dim: int, gamma: float, seed: int = 42,
-                 out: str = "rbf") -> DataFrame:
-    """Random Fourier features (Rahimi and Recht 2007) for the rbf-kernel SVM:
-    ``sqrt(2/D) cos(W x + b)`` as array expressions (no UDF)."""
-    import numpy as np
-    rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, np.sqrt(2 * gamma), size=(n_features, dim))
-    b = rng.uniform(0, 2 * np.pi, size=n_features)
-    x = vector_to_array(F.col(col))
-    feats = [F.sqrt(F.lit(2.0 / n_features)) * F.cos(
-        F.aggregate(F.arrays_zip(x, F.array(*[F.lit(float(w)) for w in W[i]])), F.lit(0.0),
-                    lambda acc, z: acc + z["0"] * z["1"]) + F.lit(float(b[i]))) for i in range(n_features)]
-    return df.withColumn(out, array_to_vector(F.array(*feats)))
-
-
 def save_model(model, path: str) -> None:
     """S6."""
     model.write().overwrite().save(path)

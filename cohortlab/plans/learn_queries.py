@@ -12,7 +12,7 @@ from cohortlab.operators import sampling as D
 from cohortlab.operators.encode import LinearDiscriminant
 from cohortlab.operators.outliers import isolation_forest_to_median
 from cohortlab.plans.queries import _cohort_sql, cohort_rows, register, r6
-from cohortlab.session import scratch_dir
+from cohortlab.session import checkpointed, scratch_dir
 from cohortlab.sources import io as IO
 from cohortlab.streaming import scoring as ST
 from cohortlab.plans.tables import table
@@ -118,6 +118,21 @@ def q_l1(spark, d):
                                  "model string, best_params string, cv_accuracy double, validation_accuracy double")
 
 
+def _three_classes(spark, d):
+    """Training rows in three classes, with stratified folds."""
+    e = _embeddings(spark, d).withColumn("label", (F.col("label") % 3).cast("int"))
+    train = D.train_test(e, "vec_id", 0.2, seed=42).where(F.col("split") == "train")
+    return checkpointed(D.stratified_folds(train, "label", "vec_id", 3, 42))
+
+
+@register("svm_grid")
+def q_l2(spark, d):
+    """L2 + L1: cross-validated accuracy of every point of the SVM grid, linear and rbf; gamma changes nothing for a line."""
+    _, scores = L.grid_scores(_three_classes(spark, d), "svm", L.SVM_GRID, folds=3, fold_col="fold", parallelism=8)
+    return spark.createDataFrame([(p["C"] * 1.0, p["kernel"], p["gamma"], m) for p, m in scores],
+                                 "C double, kernel string, gamma string, cv_accuracy double")
+
+
 @register("feature_importance_top10")
 def q_l8(spark, d):
     """Forest importances, top 10 features."""
