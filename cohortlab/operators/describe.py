@@ -11,9 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.colstats import column_stats, numeric_columns
+from cohortlab.operators.gram import pearson
 from cohortlab.operators.relational import to_long
 from cohortlab.session import bounded_broadcast
 
+# Columns whose pairs are written out as expressions: 276 pairs.
+NARROW = 24
+
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """``(column, count, mean, std, min, p25, p50, p75, max)`` per numeric
@@ -50,8 +54,13 @@ def center_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def correlation_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson r for every pair (nulls skipped per pair), long
-    ``(a, b, i, j, r)``; the diagonal is 1 for non-constant columns. One pass."""
+    ``(a, b, i, j, r)``; the diagonal is 1. One pass: up to ``NARROW`` columns as expressions, beyond that, where there
+    would be hundreds of them and more, by the Gram matrix (after a pass for the means)."""
     cols = list(cols or numeric_columns(df))
+    if len(cols) > NARROW:
+        names = F.array(*[F.lit(c) for c in cols])
+        r = F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.col("r"))
+        return pearson(df, cols).select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), "i", "j", r.alias("r"))
     aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}_{j}")
             for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
     wide = df.agg(*aggs) if aggs else df.limit(1).select()

@@ -95,10 +95,11 @@ def roc_points(scores: DataFrame, by: Sequence[str] = ("class",), label_is_pos="
     g = scores.groupBy(*by, F.col(score).alias("threshold")).agg(
         F.sum(F.col(label_is_pos).cast("long")).alias("pos"),
         F.sum((~F.col(label_is_pos)).cast("long")).alias("neg"))
-    g = g.withColumn("__key", F.concat_ws("\u0001", *[F.col(c).cast("string") for c in by])) \
-         .withColumn("__neg_thr", -F.col("threshold"))
+    # A struct, not joined text: nulls and separators in the values keep groups apart.
+    g = g.withColumn("__key", F.struct(*by) if by else F.struct(F.lit(0))).withColumn("__neg_thr", -F.col("threshold"))
     tot = g.groupBy("__key").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    cum = cumulative_sums(g, "__key", ["__neg_thr"], ["pos", "neg"]).join(tot, "__key")
+    cum = cumulative_sums(g, "__key", ["__neg_thr"], ["pos", "neg"])
+    cum = cum.join(tot.withColumnRenamed("__key", "__of"), F.col("__key").eqNullSafe(F.col("__of")))
     curve = cum.select(*by, "threshold",
                        F.try_divide("cum_neg", "N").alias("fpr"),
                        F.try_divide("cum_pos", "P").alias("tpr"))

@@ -8,6 +8,7 @@ where an equivalent exists (see the table in the README).
 from __future__ import annotations
 
 import itertools
+from functools import reduce
 from typing import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -191,3 +192,31 @@ def load_pipeline(path: str) -> PipelineModel:
 
 def fit_pipeline(stages, df: DataFrame) -> PipelineModel:
     return Pipeline(stages=list(stages)).fit(df)
+
+
+def select_best(models: dict, rows: DataFrame, sensitive: Sequence[str], label: str = "label") -> tuple[str, DataFrame]:
+    """V13 selection: ``(name of the best, ranking)`` of fitted ``{name: model}`` on validation rows, by accuracy less
+    0.7 x unfairness over the ``sensitive`` columns. The predictions are scanned once, for one contingency table."""
+    from cohortlab.operators import evaluate as V
+    preds = [predict(m, rows).select(F.lit(name).alias("model"), F.col(label).alias("label"), F.col("prediction").cast("int").alias("prediction"), *sensitive)
+             for name, m in models.items()]
+    cells = V.contingency(reduce(DataFrame.unionByName, preds), list(sensitive))
+    ranked = checkpointed(V.rank_models(V.accuracy_of_cells(cells, ["model"]), V.fairness_report(cells, list(sensitive), cells=cells)))
+    return V.best_model(ranked).first()["model"], ranked
+
+
+def keep_best(model, name: str, test: DataFrame, path: str, runs: str, label: str = "label") -> dict:
+    """The winner's accuracy and weighted F1 on the test rows, after which it is saved to ``path``, loaded again and logged in
+    ``runs``. Also tells whether the loaded model predicts every test row alike. No test rows: null scores."""
+    from cohortlab.operators import evaluate as V
+    from cohortlab.sources import io as IO
+    test = test.withColumn("__row", F.monotonically_increasing_id())
+    save_model(model, path)
+    answers = lambda m, c: predict(m, test).select("__row", F.col(label).alias("label"), F.col("prediction").alias(c))
+    both = checkpointed(answers(model, "prediction").join(answers(load_pipeline(path), "again").drop("label"), "__row"))
+    acc = V.accuracy(both).first()["accuracy"]
+    f1 = V.weighted_f1(both.select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))).first()["weighted_f1"]
+    same = both.where(~F.col("prediction").eqNullSafe(F.col("again"))).isEmpty()
+    scores = {k: v for k, v in {"test_accuracy": acc, "test_f1": f1}.items() if v is not None}
+    IO.log_run(test.sparkSession, runs, "Best_Model", name, {"path": path}, scores, {"same_after_reload": str(same)})
+    return {"test_accuracy": acc, "test_f1": f1, "same_after_reload": same}

@@ -62,8 +62,42 @@ def column_roles(df: DataFrame, threshold: int = 9, cols: Sequence[str] | None =
          .otherwise("other").alias("role"))
 
 
+def few_distinct(df: DataFrame, threshold: int = 9, cols: Sequence[str] | None = None) -> DataFrame:
+    """``(column, n_few)``: the number of distinct values (nulls ignored) where it is below ``threshold``, else null.
+
+    One pass without unpivot, whatever the number of columns: each column keeps a mergeable sketch of at least twice
+    ``threshold`` hashes. As long as it is not full, which is certain below ``threshold``, it holds the hash of
+    every distinct value, so the count is exact (but for 64-bit collisions); beyond that it stops growing.
+    """
+    cols = list(cols or df.columns)
+    entries = max(4, threshold.bit_length() + 1)
+    if entries > 20:
+        raise ValueError("threshold is too large for a sketch; use distinct_counts")
+
+    def hashed(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, INTEGRAL_TYPES):
+            return c.cast("long")
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            return c.cast("double") + F.lit(0.0)  # -0.0 is 0.0
+        return F.concat(F.lit("v"), c.cast("string"))  # the sketch would skip an empty text
+
+    types = {f.name: f for f in df.schema.fields}
+    wide = df.agg(*[F.theta_sketch_estimate(F.theta_sketch_agg(hashed(types[c]), entries)).alias(f"n{i}") for i, c in enumerate(cols)])
+    few = lambda i: F.when(F.coalesce(F.col(f"n{i}"), F.lit(0)) < threshold, F.coalesce(F.col(f"n{i}"), F.lit(0)))
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), few(i).cast("long").alias("n_few")) for i, c in enumerate(cols)])))
+
+
+def quick_roles(df: DataFrame, threshold: int = 9, cols: Sequence[str] | None = None) -> DataFrame:
+    """M4: ``(column, role)`` as in ``column_roles``, without full distinct counts: see ``few_distinct``."""
+    cols = list(cols or df.columns)
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
+    role = F.when(F.col("n_few").isNotNull(), "categorical").when(F.col("column").isin(numeric), "numerical").otherwise("other")
+    return few_distinct(df, threshold, cols).select("column", role.alias("role"))
+
+
 def roles_dict(df: DataFrame, threshold: int = 9) -> dict[str, list[str]]:
-    rows = column_roles(df, threshold).collect()
+    rows = quick_roles(df, threshold).collect()
     order = {c: i for i, c in enumerate(df.columns)}
     out = {"categorical": [], "numerical": [], "other": []}
     for r in sorted(rows, key=lambda r: order[r["column"]]):

@@ -10,7 +10,7 @@ from typing import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.colstats import column_stats, numeric_columns
@@ -129,18 +129,23 @@ def step_function(tree, c_factor) -> tuple[np.ndarray, np.ndarray]:
 
 def isolation_scores(df: DataFrame, column: str, n_trees: int = 100, sample_size: int = 256,
                      seed: int = 42) -> DataFrame:
-    """X3 support: isolation-forest anomaly score of one numeric column.
+    """X3 support: isolation-forest anomaly score of one numeric column, as ``__score``."""
+    return df.withColumn("__score", isolation_scorer(df, column, n_trees, sample_size, seed))
+
+
+def isolation_scorer(df: DataFrame, column: str, n_trees: int = 100, sample_size: int = 256, seed: int = 42) -> Column:
+    """The score of a column as an expression over its values.
 
     Trees are grown on the driver from ``n_trees`` hash-samples of at most
     ``sample_size`` values each (a bounded ``n_trees * sample_size`` rows,
     the algorithm's own sub-sampling, Liu et al. 2008), broadcast, and every
-    row is scored in a vectorised pandas UDF. Output adds ``__score``.
+    row is scored in a vectorised pandas UDF.
     """
     spark = df.sparkSession
     x = F.col(column).cast("double")
     n = df.where(x.isNotNull()).count()
     if n == 0:
-        return df.withColumn("__score", F.lit(None).cast("double"))
+        return F.lit(None).cast("double")
     # One pass for all trees: a row joins tree t when its hash under seed t
     # falls below ~1.5 * sample_size / n; per tree the smallest hashes are
     # kept. Expected work per row is 1.5 * n_trees * sample_size / n.
@@ -185,19 +190,23 @@ def isolation_scores(df: DataFrame, column: str, n_trees: int = 100, sample_size
         h = sum(lengths[np.searchsorted(cuts, vals, side="right")] for cuts, lengths in steps) / len(steps)
         return pd.Series(np.where(np.isnan(vals), np.nan, 2.0 ** (-h / cn) if cn > 0 else 0.5))
 
-    return df.withColumn("__score", score(x))
+    return score(x)
 
 
 def isolation_forest_to_median(df: DataFrame, columns: Sequence[str], contamination: float = 0.1,
                                **kw) -> DataFrame:
     """Per column, the top ``contamination`` share of isolation scores is
-    replaced by the median. Cut = exact score quantile; the scores are written
-    once, as its search reads them several times."""
-    out = df
-    for c in columns:
-        scored = isolation_scores(out, c, **kw)
-        found = exact_quantiles(checkpointed(scored.select("__score", c)), {"__score": [1 - contamination], c: [0.5]})
-        cut, med = found["__score"][1 - contamination], found[c][0.5]
-        out = scored.withColumn(c, F.when(F.col("__score") > F.lit(cut), F.lit(med).cast(df.schema[c].dataType))
-                                 .otherwise(F.col(c))).drop("__score")
-    return out
+    replaced by the median. Columns do not depend on each other: all are scored from the input in one select, whose scores
+    are written once, as the search for the cuts reads them several times."""
+    columns = list(columns)
+    if not columns:
+        return df
+    scores = {c: isolation_scorer(df, c, **kw) for c in columns}
+    written = checkpointed(df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)],
+                                     *[scores[c].alias(f"s{i}") for i, c in enumerate(columns)]))
+    found = exact_quantiles(written, {**{f"s{i}": [1 - contamination] for i in range(len(columns))}, **{f"v{i}": [0.5] for i in range(len(columns))}})
+    new = {}
+    for i, c in enumerate(columns):
+        cut, med = found[f"s{i}"][1 - contamination], found[f"v{i}"][0.5]
+        new[c] = F.when(scores[c] > F.lit(cut), F.lit(med).cast(df.schema[c].dataType)).otherwise(F.col(f"`{c}`"))
+    return df.withColumns(new)

@@ -346,6 +346,36 @@ def rows_by_duplication(df: DataFrame, subset: Sequence[str] | None = None,
     return df.join(dup_keys, cond, "left_semi" if duplicated else "left_anti")
 
 
+# Rows that one partition of a distributed ranking or running sum holds on average.
+ROWS_PER_PARTITION = 1_000_000
+
+
+def partitions_for(df: DataFrame) -> int:
+    """Partitions of a range sort, from the counted rows: the same on any session."""
+    return max(1, -(-df.count() // ROWS_PER_PARTITION))
+
+
+def join_keyed(rows: DataFrame, table: DataFrame, on: str, how: str = "left", count: str = "n",
+               max_rows: int = 1_000_000, share: int = 1000) -> DataFrame:
+    """``rows`` joined (``left`` or ``inner``) to ``table``, which has one row per value of ``on`` and counts in ``count``
+    how often the value occurs.
+
+    A table of at most ``max_rows`` rows is broadcast. Beyond that, values with more than one in ``share`` of all
+    occurrences are fewer than ``share`` and are broadcast, the rest is shuffled: no task holds a hot value.
+    """
+    from cohortlab.session import fits_in_rows
+    if fits_in_rows(table, max_rows):
+        return rows.join(F.broadcast(table.drop(count)), on, how)
+    total = table.agg(F.sum(count)).first()[0] or 0
+    is_hot = F.coalesce(F.col(count) * share > F.lit(total), F.lit(False))
+    hot, cold = table.where(is_hot).drop(count), table.where(~is_hot).drop(count)
+    # Null keys match nothing: they stay out of the shuffle.
+    none = rows.where(F.col(on).isNull())
+    rest = rows.where(F.col(on).isNotNull()).join(F.broadcast(hot.select(on)), on, "left_anti").join(cold, on, how)
+    out = rows.join(F.broadcast(hot), on, "inner").unionByName(rest)
+    return out.unionByName(none, allowMissingColumns=True) if how == "left" else out
+
+
 def with_row_index(df: DataFrame, order_by: Sequence, name: str = "index",
                    partitions: int | None = None) -> DataFrame:
     """Exact 0-based position in ``order_by`` order, fully distributed.
@@ -356,8 +386,7 @@ def with_row_index(df: DataFrame, order_by: Sequence, name: str = "index",
     The offsets (one per partition) are a bounded literal array, so no
     join and no single-partition window. ``order_by`` must be a total order.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or partitions_for(df)
     cols = _order_cols(order_by)
     from cohortlab.session import checkpointed
     # Materialised once (reliable checkpoint in the shared folder): the
@@ -436,9 +465,9 @@ def cumulative_sums(df: DataFrame, group: str, order: Sequence[str], sums: Seque
     rows; no task ever holds a whole group. ``order`` must be total within
     a group.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     from cohortlab.session import checkpointed
+    df = checkpointed(df) if not partitions else df  # counted and dealt out: computed once
+    n = partitions or partitions_for(df)
     staged = checkpointed(df.repartitionByRange(n, F.col(group).asc_nulls_last(),
                                                 *[F.col(c).asc_nulls_last() for c in order])
                             .withColumn("__pid", F.spark_partition_id()))

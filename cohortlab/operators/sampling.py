@@ -141,7 +141,9 @@ def rebalance(df: DataFrame, group_col: str, under_group, over_group, reference_
     Target size = size of ``reference_group``; the over-sampled group keeps
     all its rows and gets ``target - size`` extra draws.
     """
-    counts = {r[0]: r[1] for r in df.groupBy(group_col).count().collect()}
+    # Two groups' sizes, however many groups there are.
+    asked = df.where(F.col(group_col).isin([g for g in {reference_group, over_group} if g is not None]))
+    counts = {r[0]: r[1] for r in asked.groupBy(group_col).count().collect()}
     target = counts.get(reference_group, 0)
     others = keep_not_equal(df, group_col, under_group)
     under = under_sample(df, group_col, under_group, target, key, seed)

@@ -133,6 +133,45 @@ def q_l2(spark, d):
                                  "C double, kernel string, gamma string, cv_accuracy double")
 
 
+@register("saved_model_round_trip", """
+SELECT (SELECT count(*) FROM embeddings) AS n_rows, (SELECT count(*) FROM embeddings) AS n_equal, 2 AS n_params, 1 AS n_metrics, 1 AS n_texts,
+  0.5 AS cut, CAST((SELECT count(*) FROM embeddings) AS DOUBLE) AS logged_rows, 'reloaded' AS note""")
+def q_s6(spark, d):
+    """S6 + S7: every row is predicted alike by the fitted model and by the one that was saved and loaded again; the run
+    that says so is logged and read back."""
+    e = _embeddings(spark, d)
+    model = L.fit_pipeline([L.estimator("logistic_regression", e.count(), maxIter=20)], e)
+    path, runs = scratch_dir(spark, "model"), scratch_dir(spark, "runs")
+    L.save_model(model, path)
+    both = L.predict(model, e).select("vec_id", F.col("prediction").alias("p")).join(
+        L.predict(L.load_pipeline(path), e).select("vec_id", F.col("prediction").alias("q")), "vec_id")
+    r = both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("p") == F.col("q")).alias("same")).first()
+    IO.log_run(spark, runs, "Reload", "logistic", {"cut": 0.5, "kind": "logistic"}, {"rows": r["n"]}, {"note": "reloaded"})
+    log = IO.read_runs(spark, runs)
+    kind = lambda k: F.count_if(F.col("kind") == k).cast("int").alias(f"n_{k}s")
+    one = lambda k: F.max(F.when(F.col("key") == k, F.col("value")))
+    return log.agg(kind("param"), kind("metric"), kind("text"), one("cut").cast("double").cast("decimal(2,1)").alias("cut"),
+                   one("rows").cast("double").alias("logged_rows"), one("note").alias("note")).select(
+        F.lit(r["n"]).cast("long").alias("n_rows"), F.lit(r["same"]).cast("long").alias("n_equal"), "*")
+
+
+@register("best_model_kept")
+def q_v13_kept(spark, d):
+    """Candidates are ranked on the validation rows by accuracy and fairness; the winner alone is scored on the
+    test rows, saved, loaded again and logged. One row: its name, scores, and whether the saved model answers alike."""
+    e = _embeddings(spark, d).withColumn("side", (F.col("embedding")[0] > 0).cast("int"))
+    s = checkpointed(D.train_val_test(e, "vec_id", seed=42)).coalesce(4)
+    part = lambda name: s.where(F.col("split") == name)
+    n = part("train").count()
+    kinds = {"Logistic Regression": {"kind": "logistic_regression", "maxIter": 50}, "Random Forest": {"kind": "random_forest", "n_estimators": 50, "max_depth": 10}}
+    models = {name: L.fit_pipeline([L.estimator(n_rows=n, **p)], part("train")) for name, p in kinds.items()}
+    best, ranked = L.select_best(models, part("val"), ["side"])
+    kept = L.keep_best(models[best], best, part("test"), scratch_dir(spark, "best_model"), scratch_dir(spark, "runs"))
+    top = ranked.where(F.col("model") == best).select("model", "accuracy", "score", "model_type")
+    return top.select("*", F.lit(kept["test_accuracy"]).alias("test_accuracy"), F.lit(kept["test_f1"]).alias("test_f1"),
+                      F.lit(kept["same_after_reload"]).alias("same_after_reload"))
+
+
 @register("feature_importance_top10")
 def q_l8(spark, d):
     """Forest importances, top 10 features."""

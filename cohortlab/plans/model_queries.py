@@ -81,6 +81,80 @@ def q_e5(spark, d):
     return E.label_encode(c, "c_mktsegment", "cohort_code").select("c_custkey", "cohort_code")
 
 
+@register("label_encode_many", f"""
+SELECT {KEYS_SQL}, CAST(dense_rank() OVER (ORDER BY l_extendedprice) - 1 AS INTEGER) AS price_code FROM lineitem""")
+def q_e5_many(spark, d):
+    """E5 on a column with nearly as many labels as rows: ranks from a distributed index, joined back."""
+    li = _li(spark, d).select(*KEYS, "l_extendedprice")
+    return E.label_encode(li, "l_extendedprice", "price_code").select(*KEYS, "price_code")
+
+
+_SLOT_COLS = ["l_partkey", "l_returnflag", "l_suppkey"]
+
+
+def _slots_sql(drop_first: bool) -> str:
+    skip = int(drop_first)
+    at, parts = "1", []
+    for c in _SLOT_COLS:
+        parts.append(f"CASE WHEN r_{c} > {skip} THEN CAST(r_{c} - 1 - {skip} + {at} AS INTEGER) END")
+        at += f" + (SELECT count(DISTINCT {c}) - {skip} FROM lineitem)"
+    ranks = ", ".join(f"dense_rank() OVER (ORDER BY {c}) AS r_{c}" for c in _SLOT_COLS)
+    return (f"SELECT {KEYS_SQL}, round((l_quantity - (SELECT avg(l_quantity) FROM lineitem)) / (SELECT stddev_pop(l_quantity) FROM lineitem), 6) "
+            f"AS quantity, list_filter([0, {', '.join(parts)}], lambda s: s IS NOT NULL) AS slots, CAST({at} AS INTEGER) AS size "
+            f"FROM (SELECT *, {ranks} FROM lineitem)")
+
+
+def _slots(spark, d, drop_first):
+    li = _li(spark, d)
+    got = E.VectorEncoder(_SLOT_COLS, ["l_quantity"], drop_first).fit(li).transform(li)
+    return got.select(*KEYS, r6(F.get("features.values", F.lit(0))).alias("quantity"), F.col("features.indices").alias("slots"),
+                      F.col("features.size").alias("size"))
+
+
+@register("vector_encoder", _slots_sql(False))
+def q_e2_vector(spark, d):
+    """E2 + E4: one sparse vector a row, categories as a joined table, however many there are."""
+    return _slots(spark, d, False)
+
+
+@register("vector_encoder_drop_first", _slots_sql(True))
+def q_e3_vector(spark, d):
+    """The first category of each column has no slot."""
+    return _slots(spark, d, True)
+
+
+_DIMS = 64
+
+
+def _flat(spark, d):
+    return table(spark, d, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(_DIMS)])
+
+
+_LONG_SQL = f"""x AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range({_DIMS})) AS i FROM embeddings)"""
+
+
+@register("correlation_wide", f"""WITH {_LONG_SQL}
+SELECT 'f' || a.i AS a, 'f' || b.i AS b, CAST(a.i AS INTEGER) AS i, CAST(b.i AS INTEGER) AS j, round(corr(a.v, b.v), 6) AS r
+FROM x a JOIN x b ON a.vec_id = b.vec_id GROUP BY a.i, b.i""")
+def q_t3_wide(spark, d):
+    """T3 on 64 columns: outer products per batch, added in a tree, instead of an expression a pair."""
+    return _rounded(T.correlation_long(_flat(spark, d), [f"f{i}" for i in range(_DIMS)]), ["r"])
+
+
+@register("class_scatter", f"""WITH {_LONG_SQL},
+m AS (SELECT label, i, avg(v) AS mu FROM x GROUP BY 1, 2)
+SELECT 'mean' AS kind, label AS a, CAST(i AS INTEGER) AS b, round(mu, 6) AS value FROM m
+UNION ALL SELECT 'within', CAST(a.i AS INTEGER), CAST(b.i AS INTEGER), round(sum((a.v - ma.mu) * (b.v - mb.mu)), 6) FROM x a JOIN x b ON a.vec_id = b.vec_id
+JOIN m ma ON ma.label = a.label AND ma.i = a.i JOIN m mb ON mb.label = b.label AND mb.i = b.i GROUP BY a.i, b.i""")
+def q_e8_scatter(spark, d):
+    """Class means and within-class scatter, which the discriminant is made from."""
+    lda = E.LinearDiscriminant([f"f{i}" for i in range(_DIMS)], "label")
+    classes, _, means, within = lda.scatter(_flat(spark, d))
+    rows = [("mean", int(c), i, float(v)) for c, mu in zip(classes, means) for i, v in enumerate(mu)]
+    rows += [("within", i, j, float(v)) for i, row in enumerate(within) for j, v in enumerate(row)]
+    return _rounded(spark.createDataFrame(rows, "kind string, a int, b int, value double"), ["value"])
+
+
 CORR_COLS = ["l_quantity", "l_extendedprice", "revenue", "l_discount", "l_tax"]
 
 

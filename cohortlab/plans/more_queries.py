@@ -417,6 +417,12 @@ def q_m4(spark, d):
     return M.column_roles(gappy_lineitem(spark, d), 9)
 
 
+@register("column_roles_sketch", f"SELECT \"column\", role FROM ({_roles_sql()})")
+def q_m4_sketch(spark, d):
+    """M4 in one pass without unpivot: sets that stop growing, instead of full distinct counts."""
+    return M.quick_roles(gappy_lineitem(spark, d), 9)
+
+
 @register("tiered_impute", f"""
 WITH {GAPPY_LINEITEM_SQL.strip()}
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, qty, disc,

@@ -41,14 +41,13 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; we read it
     from the session. Only when it is unset (local tests) do we create our
-    own, and we record it in the session so every later call agrees.
+    own, which the context then keeps, so every later call agrees.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="cohortlab-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     sub = f"{name}-{uuid.uuid4().hex[:12]}" if name else uuid.uuid4().hex  # never shared between runs

@@ -33,17 +33,24 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
     Pass a schema for known tables: without one, types are found in an extra
     pass. A field that does not fit its type raises when it is read
-    (``bad='fail'``) or is null (``bad='null'``).
+    (``bad='fail'``) or is null (``bad='null'``). A row with more fields than the header raises, or loses them with
+    ``bad='null'``; one with fewer has nulls at its end, as has the reference's reader.
     """
     if bad not in ("fail", "null"):
         raise ValueError("bad must be 'fail' or 'null'")
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema]))
-    raw = reader.csv(path)
-    text = raw.select(*[F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    names = [f.name for f in schema] if schema is not None else reader.csv(path).columns
+    # One column more than the header has: what stands there is a field too many.
+    beyond = "__beyond"
+    while beyond in names:
+        beyond += "_"
+    raw = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in [*names, beyond]])).csv(path)
+    if bad == "fail":
+        message = F.concat(F.lit(f"a row has more than {len(names)} fields: "), F.col(beyond))
+        raw = raw.where(F.when(F.col(beyond).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    text = raw.select(*[F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in names])
     types = {f.name: f.dataType for f in schema} if schema is not None else _inferred(text)
 
     def typed(name: str):

@@ -19,6 +19,6 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):  # tests only: the cluster names its own
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cohortlab-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlab-test-ckpt-"))
     yield s
     s.stop()

@@ -32,3 +32,14 @@ def test_bad_field(spark, folder):
 def test_folder(spark, folder):
     got = IO.read_csv_dir(spark, folder)
     assert list(got) == ["a", "b"] and got["a"].count() == 2 and got["b"].count() == 3
+
+
+def test_rows_with_too_many_or_too_few_fields(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n1,2\n3,4,5\n6\n")
+    for ddl in (None, "a bigint, b bigint"):
+        with pytest.raises(Exception, match="more than 2 fields: 5"):
+            IO.read_csv(spark, f"{tmp_path}/x.csv", ddl).select("a").collect()
+        got = IO.read_csv(spark, f"{tmp_path}/x.csv", ddl, bad="null")
+        assert got.columns == ["a", "b"] and sorted(map(tuple, got.collect())) == [(1, 2), (3, 4), (6, None)]
+    (tmp_path / "y.csv").write_text("a,b\n1,2\n6\n")
+    assert sorted(map(tuple, IO.read_csv(spark, f"{tmp_path}/y.csv").collect())) == [(1, 2), (6, None)]
