@@ -44,6 +44,11 @@ def _role_in(role: Column) -> Column:
     return unescape(F.replace(F.replace(role, F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%")))
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, also where lambdas inside ``body`` use it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                  text_col: str = "text", trained: str = "assistant") -> DataFrame:
     """One row per conversation: the id, ``segments`` (array of text and loss
@@ -58,18 +63,16 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
         F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("t"))
     got = t.groupBy(conv_col).agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    n = F.size("ts")
+    # Arrays are bound by an outer lambda (``_bound``): a lambda's body would else build them anew for each element.
+    changes = _bound(F.col("ts.role"), lambda roles: F.filter(
+        F.sequence(F.lit(0), F.size(roles) - 1), lambda i: (i == 0) | (F.get(roles, i) != F.get(roles, i - 1))))
     # Positions where the role changes, then the slice from each to the next.
-    first = F.filter(F.sequence(F.lit(0), n - 1),
-                     lambda i: (i == 0) | (F.get("ts.role", i) != F.get("ts.role", i - 1)))
-    got = got.withColumn("first", first)
-    blocks = F.transform("first", lambda s, k: F.struct(
-        F.get("ts.role", s).alias("role"),
-        F.slice(F.col("ts.text"), s + 1, F.coalesce(F.get("first", k + 1), n) - s).alias("texts")))
-    got = got.select(conv_col, blocks.alias("blocks"))
+    blocks = _bound(F.struct(F.col("ts.role").alias("roles"), F.col("ts.text").alias("texts"), changes.alias("first")), lambda a: F.transform(
+        a["first"], lambda s, k: F.struct(F.get(a["roles"], s).alias("role"), F.slice(
+            a["texts"], s + 1, F.coalesce(F.get(a["first"], k + 1), F.size(a["texts"])) - s).alias("texts"))))
     plain = lambda s: F.struct(s.alias("text"), F.lit(False).alias("loss"))
     # Per block: the head, then each text followed by a separator or, for the last, the end.
-    segments = F.flatten(F.transform("blocks", lambda b: F.concat(
+    segments = F.flatten(F.transform(blocks, lambda b: F.concat(
         F.array(plain(F.concat(F.lit(START), _role_out(b["role"]), F.lit("\n")))),
         F.flatten(F.transform(b["texts"], lambda x, i: F.array(
             F.struct(escape(x).alias("text"), (b["role"] == F.lit(trained)).alias("loss")),

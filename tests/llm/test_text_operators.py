@@ -160,6 +160,24 @@ def test_chat_query_has_the_planted_conversation(spark, sf):
     assert out["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
 
 
+@pytest.mark.parametrize("alternate", [True, False])
+def test_chats_of_many_turns_stay_linear(spark, alternate):
+    import time
+
+    def seconds(n):
+        role = F.when((F.col("id") % 2 == 0) & F.lit(alternate), "user").otherwise("assistant")
+        df = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.concat(F.lit("two "), F.col("id").cast("string")).alias("text"))
+        out = chat_format.format_chats(df)
+        out = out.select(chat_format.read_back(F.col("formatted")).alias("turns"), chat_format.loss_text(F.col("segments")).alias("loss"))
+        start = time.perf_counter()
+        r = out.select(F.size("turns").alias("n"), F.get("turns.text", F.lit(n - 1)).alias("last"), F.char_length("loss").alias("loss")).first()
+        assert r["n"] == n and r["last"] == f"two {n - 1}" and r["loss"] > 0
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(100_000) < 30  # it took minutes when arrays were built anew for each turn
+
+
 # ---------------------------------------------------------------- op8
 
 @pytest.fixture(scope="module")
