@@ -8,8 +8,9 @@ are reranked by their exact inner product in double precision.
 
 The number of visited parts is set on the sample: the fewest that reach the
 asked recall there, where neighbours are sparser and thus harder than in the
-whole table. Index rows of a part are dealt into blocks of a bounded size by a
-hash of the id, so a part that holds very many vectors is many small tasks.
+whole table. Parts that would hold too many vectors are parted again, each by a
+router that Spark fits on a sample of that part. Rows of a cell are dealt into blocks of a bounded size by a
+hash of the id, so a cell that holds very many vectors is many small tasks.
 """
 
 from __future__ import annotations
@@ -131,8 +132,9 @@ def train_router(x: np.ndarray, target: np.ndarray, hidden: int, epochs: int, se
 def fit_router(x: np.ndarray, parts: int, k: int, recall: float, hidden: int, epochs: int, seed: int) -> Router:
     """Graph, parts and classifier of a sample. ``visits`` is the fewest parts
     that reach ``recall`` on a fifth of the sample that the classifier hasn't seen."""
-    graph = neighbour_graph(x, k)
+    graph = neighbour_graph(x, min(k, len(x) - 1))
     part = balanced_parts(graph, parts, seed)
+    k = graph.shape[1]
     target = np.zeros((len(x), parts))
     np.add.at(target, (np.arange(len(x))[:, None], part[graph]), 1.0 / (k + 1))
     target[np.arange(len(x)), part] += 1.0 / (k + 1)
@@ -147,75 +149,159 @@ def fit_router(x: np.ndarray, parts: int, k: int, recall: float, hidden: int, ep
     return net
 
 
+def parts_for(rows: int, rows_per_part: int) -> int:
+    """Parts of a sample: a power of two with at most ``rows_per_part`` rows in each, two at least; one for less than 16 rows."""
+    return 1 if rows < 16 else 1 << max(1, (-(-rows // rows_per_part) - 1).bit_length())
+
+
+@dataclass
+class Cells:
+    """The routers of both levels. A cell is (part, part of that part), numbered part x ``finer`` + inner part."""
+    top: Router | None
+    inner: dict[int, Router]
+    parts: int
+    finer: int
+
+    def home(self, x: np.ndarray) -> np.ndarray:
+        part = self.top.order(x)[:, 0] if self.top else np.zeros(len(x), np.int64)
+        cell = part * self.finer
+        for p in np.unique(part):
+            if p in self.inner:
+                cell[part == p] += self.inner[p].order(x[part == p])[:, 0]
+        return cell
+
+    def visited(self, x: np.ndarray, sizes: dict[int, int], least: int) -> list[list[int]]:
+        """The cells each query visits: its most probable parts, in each the most probable inner parts, and all cells of further
+        parts until they hold ``least`` vectors."""
+        order = self.top.order(x) if self.top else np.zeros((len(x), 1), np.int64)
+        visits = self.top.visits if self.top else 1
+        inner = {p: net.order(x) for p, net in self.inner.items()}
+        out = []
+        for i, parts in enumerate(order.tolist()):
+            cells, have = [], 0
+            for rank, p in enumerate(parts):
+                if rank >= visits and have >= least:
+                    break
+                whole = rank >= visits or p not in inner
+                own = range(self.finer) if whole else inner[p][i, :self.inner[p].visits].tolist()
+                new = [c for c in (p * self.finer + s for s in own) if c in sizes]
+                cells, have = cells + new, have + sum(sizes[c] for c in new)
+            if have < least:  # the inner parts left out
+                cells = list(sizes)
+            out.append(cells)
+        return out
+
+
 # ------------------------------------------------------------- search (Spark)
 
+def _inner_routers(index: DataFrame, big: list[int], finer: int, rows: int, fit: dict) -> dict[int, Router]:
+    """A router for each part in ``big``, fitted by Spark tasks on ``rows`` of its vectors (those of smallest id hash).
+    What comes back is bounded: a part's router, for at most ``sample / rows_per_part`` parts."""
+    w = W.partitionBy("part").orderBy(F.xxhash64("vec_id"), "vec_id")
+    picked = index.where(F.col("part").isin(big)).withColumn("r", F.row_number().over(w)).where(F.col("r") <= rows).drop("r")
+
+    def fitted(t: pa.Table) -> pa.Table:
+        x = np.array(t.column("v").to_pylist(), dtype=np.float64)
+        net = fit_router(x, finer, **fit)
+        flat = [w.ravel().tolist() for w in (net.w1, net.b1, net.w2, net.b2)]
+        return pa.table({"part": pa.array([t.column("part")[0].as_py()], pa.int32()), "visits": pa.array([net.visits], pa.int32()),
+                         **{n: pa.array([f], pa.list_(pa.float64())) for n, f in zip(("w1", "b1", "w2", "b2"), flat)}})
+
+    got = picked.groupBy("part").applyInArrow(
+        fitted, "part int, visits int, w1 array<double>, b1 array<double>, w2 array<double>, b2 array<double>").collect()
+    h = fit["hidden"]
+    return {r["part"]: Router(np.reshape(r["w1"], (-1, h)), np.array(r["b1"]), np.reshape(r["w2"], (h, -1)), np.array(r["b2"]), r["visits"]) for r in got}
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-           sample: int = 8192, rows_per_part: int = 256, graph_k: int = 20, recall: float = 0.96,
+           sample: int = 8192, rows_per_part: int = 64, part_rows: int = 65536, graph_k: int = 20, recall: float = 0.94,
            hidden: int = 128, epochs: int = 25, block: int = 4096, query_block: int = 512, seed: int = 11) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of each row of
+    """(query_id, rank, vec_id, score, visited): the ``k`` nearest found of each row of
     ``queries`` among all rows of ``vectors`` with another id, nearest first,
-    ties to the smaller id; score is the inner product in double precision.
+    ties to the smaller id; score is the inner product in double precision, ``visited`` the number of vectors the query was
+    compared with.
 
     ``sample`` bounds the rows that the fit sees (those of smallest id hash); a
-    part stands for about ``rows_per_part`` of them, and below twice that all
-    is one part and the search exact. Every vector is indexed. A query visits
-    its ``visits`` most probable parts and further ones until these hold more
+    part stands for at most ``rows_per_part`` of them. Where parts of the table are expected to hold more than ``part_rows``
+    vectors, each is parted again by a router of its own, fitted on a sample of its own vectors, so the size of a
+    cell does not grow with the table. Every vector is indexed. A query visits the cells
+    that reach the asked ``recall`` on held-out sample rows, and further ones until these hold more
     than ``k`` vectors, so all candidates come back if there are fewer. Vectors
     that are null, empty, zero, hold null or non-finite components, have a null
     id, or not the most frequent length take no part. Rows that repeat an id
     are one vector, that of the largest components. Other columns are not used.
+
+    Fewer than 16 vectors are one part. Pairs of a query block and a candidate block are one row each, spread by cell and blocks, so
+    neither a cell nor a group of equal vectors meets in one task.
     """
     def clean(df: DataFrame) -> DataFrame:
         v = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
         return v.where(F.col("vec_id").isNotNull() & valid(F.col("v"))).groupBy("vec_id").agg(F.max("v").alias("v"))
 
+    spark = vectors.sparkSession
     base, asked = clean(vectors), clean(queries)
-    out = "query_id long, rank int, vec_id long, score double"
+    out = "query_id long, rank int, vec_id long, score double, visited long"
     lengths = base.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     if lengths is None:
-        return vectors.sparkSession.createDataFrame([], out)
+        return spark.createDataFrame([], out)
     base, asked = base.where(F.size("v") == lengths["d"]), asked.where(F.size("v") == lengths["d"])
     picked = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
     x = np.array([r["v"] for r in picked])
-    parts = 1 << max(0, (len(x) // rows_per_part).bit_length() - 1) if len(x) >= 2 * rows_per_part else 1
-    net = fit_router(x, parts, graph_k, recall, hidden, epochs, seed) if parts > 1 else None
+    parts = parts_for(len(x), rows_per_part)
+    finer = 1
+    while lengths["n"] > parts * finer * part_rows and finer * rows_per_part < sample:
+        finer *= 2
+    levels = recall ** 0.5 if finer > 1 else recall
+    fit = {"k": graph_k, "recall": levels, "epochs": epochs, "seed": seed}
+    cells = Cells(fit_router(x, parts, hidden=hidden, **fit) if parts > 1 else None, {}, parts, finer)
 
     def matrix(column) -> np.ndarray:
         return np.array(column.flatten(), dtype=np.float64).reshape(len(column), lengths["d"])
 
-    def home(b: pa.RecordBatch) -> pa.RecordBatch:
-        p = net.order(matrix(b.column(1)))[:, 0] if net and b.num_rows else np.zeros(b.num_rows, np.int64)
-        return pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.int32())], names=["vec_id", "v", "part"])
-
-    index = checkpointed(arrow_map(base, home, "vec_id long, v array<double>, part int"))
-    sizes = np.zeros(parts, np.int64)
-    for r in index.groupBy("part").count().collect():
-        sizes[r["part"]] = r["count"]
+    def indexed(df: DataFrame, cells: Cells, name: str) -> DataFrame:
+        def home(b: pa.RecordBatch) -> pa.RecordBatch:
+            own = cells.home(matrix(b.column(1))) if b.num_rows else np.zeros(0, np.int64)
+            return pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(own, pa.int32())], names=["vec_id", "v", name])
+        return checkpointed(arrow_map(df.select("vec_id", "v"), home, f"vec_id long, v array<double>, {name} int"))
+
+    if finer > 1:
+        first = indexed(base, Cells(cells.top, {}, parts, 1), "part")
+        rows = finer * rows_per_part
+        big = [r["part"] for r in first.groupBy("part").count().where(F.col("count") >= rows).collect()]  # at most ``parts``
+        cells.inner = _inner_routers(first, big, finer, rows, {**fit, "hidden": max(8, hidden // 4)}) if big else {}
+        base = first
+    index = indexed(base, cells, "cell")
+    held = checkpointed(index.groupBy("cell").agg(F.count("*").alias("n")))  # at most parts x finer rows, bounded by the parameters
+    sizes = {r["cell"]: r["n"] for r in held.collect()}
 
     def visit(b: pa.RecordBatch) -> pa.RecordBatch:
-        if not net or not b.num_rows:
-            to = [list(range(parts))] * b.num_rows
-        else:
-            order = net.order(matrix(b.column(1)))
-            enough = (np.cumsum(sizes[order], axis=1) <= k + 1).sum(axis=1) + 1
-            to = [o[:max(net.visits, e)].tolist() for o, e in zip(order, enough)]
-        return pa.RecordBatch.from_arrays([*b.columns, pa.array(to, pa.list_(pa.int32()))], names=["vec_id", "v", "parts"])
-
-    def blocks(df: DataFrame, rows: int, name: str) -> DataFrame:
-        """Vectors of a part in blocks of about ``rows``, by a hash of the id."""
-        n = F.ceil(F.get(F.lit(sizes.tolist()), F.col("part")) / rows)
-        return (df.groupBy("part", F.pmod(F.xxhash64("vec_id"), F.greatest(n, F.lit(1))).alias("deal"))
+        to = cells.visited(matrix(b.column(1)), sizes, k + 1) if b.num_rows else []
+        seen = [sum(sizes[c] for c in cs) for cs in to]
+        return pa.RecordBatch.from_arrays([*b.columns, pa.array(to, pa.list_(pa.int32())), pa.array(seen, pa.int64())], names=["vec_id", "v", "cells", "visited"])
+
+    routed = checkpointed(arrow_map(asked, visit, "vec_id long, v array<double>, cells array<int>, visited long"))
+    each = routed.select("vec_id", "v", F.explode("cells").alias("cell"))
+
+    def blocks(df: DataFrame, counts: DataFrame, rows: int, name: str) -> DataFrame:
+        """Vectors of a cell in blocks of about ``rows``, by a hash of the id; ``counts`` has a row a cell."""
+        n = F.greatest(F.ceil(F.col("n") / rows), F.lit(1))
+        return (df.join(F.broadcast(counts), "cell").groupBy("cell", F.pmod(F.xxhash64("vec_id"), n).alias(f"{name}_deal"))
                 .agg(F.collect_list(F.struct("vec_id", "v")).alias("rows"))
-                .select("part", F.col("rows.vec_id").alias(f"{name}_ids"), F.col("rows.v").alias(f"{name}_v")))
+                .select("cell", f"{name}_deal", F.col("rows.vec_id").alias(f"{name}_ids"), F.col("rows.v").alias(f"{name}_v")))
 
-    routed = arrow_map(asked, visit, "vec_id long, v array<double>, parts array<int>").select(
-        "vec_id", "v", F.explode("parts").alias("part"))
-    pairs = blocks(routed, query_block, "q").join(blocks(index, block, "c"), "part")
+    # A query block meets each candidate block of its cell, by a key of its own for every 16 query blocks.
+    asks = checkpointed(each.groupBy("cell").agg(F.count("*").alias("n")))
+    deals = held.select("cell", F.ceil(F.col("n") / block).alias("n_c")).join(asks.select("cell", F.ceil(F.col("n") / query_block).alias("n_q")), "cell")
+    q = (blocks(each, asks, query_block, "q").join(F.broadcast(deals.select("cell", "n_c")), "cell")
+         .withColumn("c_deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_c") - 1))).withColumn("group", F.floor(F.col("q_deal") / 16)))
+    c = (blocks(index, held, block, "c").join(F.broadcast(deals.select("cell", "n_q")), "cell")
+         .withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_q") - 1) / 16)))))
+    pairs = q.join(c, ["cell", "c_deal", "group"])
 
     def rerank(b: pa.RecordBatch):
         for i in range(b.num_rows):
-            qi, ci = (np.array(b.column(n)[i].values, dtype=np.int64) for n in (1, 3))
-            q, c = (np.array(b.column(n)[i].values.flatten(), dtype=np.float64).reshape(-1, lengths["d"]) for n in (2, 4))
+            qi, ci = (np.array(b.column(n)[i].values, dtype=np.int64) for n in (0, 2))
+            q, c = (np.array(b.column(n)[i].values.flatten(), dtype=np.float64).reshape(-1, lengths["d"]) for n in (1, 3))
             by_id = np.argsort(ci, kind="stable")  # equal scores then come with the smaller id first
             ci, c = ci[by_id], c[by_id]
             s = q @ c.T
@@ -227,6 +313,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
                 [pa.array(np.broadcast_to(qi[:, None], top.shape)[keep]), pa.array(ci[top][keep]), pa.array(score[keep])],
                 names=["query_id", "vec_id", "score"])
 
-    near = arrow_map(pairs.select("part", "q_ids", "q_v", "c_ids", "c_v"), rerank, "query_id long, vec_id long, score double")
+    near = arrow_map(pairs.select("q_ids", "q_v", "c_ids", "c_v"), rerank, "query_id long, vec_id long, score double")
     w = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    seen = routed.select(F.col("vec_id").alias("query_id"), "visited")
+    return ranked.join(seen, "query_id").select("query_id", "rank", "vec_id", "score", "visited")

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cohortlab.llm import ann, decontaminate, graph, html_blocks, piece_bpe, quality, queries, simhash, toxicity
@@ -161,23 +162,60 @@ def brute_near(x, ids, query, k):
     return [ids[i] for i in order[:k]]
 
 
-def test_search_recall_against_brute_force(spark):
-    d = "/root/testdata/check_s"
-    e = spark.read.parquet(f"{d}/embeddings.parquet").toPandas()
-    x, ids = np.array(e["embedding"].tolist(), dtype=np.float64), e["vec_id"].to_numpy()
-    got = {}
-    for r in queries.op7(spark, d).collect():
-        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+def recall_of(got, x, ids, k=20):
+    """Share of the true neighbours found, mean share of vectors visited; checks ranks, scores and order on the way."""
     place = {v: i for i, v in enumerate(ids)}
+    by = {}
+    for r in got:
+        by.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
     asked = [i for i in range(len(ids)) if ids[i] % 20 == 0]
-    assert set(got) == {ids[i] for i in asked}
+    assert set(by) == {ids[i] for i in asked}
     hits = 0
     for i in asked:
-        rows = sorted(got[ids[i]])
-        assert [r[0] for r in rows] == list(range(1, 21)) and ids[i] not in [r[1] for r in rows]
+        rows = sorted(by[ids[i]])
+        assert [r[0] for r in rows] == list(range(1, k + 1)) and ids[i] not in [r[1] for r in rows]
         assert np.allclose([r[2] for r in rows], [x[place[r[1]]] @ x[i] for r in rows], rtol=0, atol=1e-12)
-        hits += len({r[1] for r in rows} & set(brute_near(x, ids, i, 20)))
-    assert hits / (20 * len(asked)) >= 0.9
+        assert rows == sorted(rows, key=lambda r: (-r[2], r[1]))
+        hits += len({r[1] for r in rows} & set(brute_near(x, ids, i, k)))
+    return hits / (k * len(asked)), np.mean([r["visited"] for r in got]) / len(ids)
+
+
+@pytest.mark.parametrize("d", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_search_recall_against_brute_force(spark, d):
+    e = spark.read.parquet(f"{d}/embeddings.parquet").toPandas()
+    x, ids = np.array(e["embedding"].tolist(), dtype=np.float64), e["vec_id"].to_numpy()
+    recall, visited = recall_of(queries.op7(spark, d).collect(), x, ids)
+    # The given vectors are noise on a sphere: their neighbours lie in most parts.
+    assert recall >= 0.9 and visited < 0.95
+
+
+def clustered(n, seed=0):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(60, 24))[rng.integers(0, 60, n)] + rng.normal(size=(n, 24)) * 0.5
+    return (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32).astype(float)
+
+
+@pytest.mark.parametrize("part_rows", [65536, 64])
+def test_search_of_clustered_vectors_visits_few(spark, part_rows):
+    x = clustered(4000)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(8)
+    got = ann.search(df, df.where("vec_id % 20 = 0"), k=20, sample=1024, part_rows=part_rows, query_block=8, block=64)
+    recall, visited = recall_of(got.collect(), x, np.arange(len(x)))
+    assert recall >= 0.9 and visited < 1 / 3
+
+
+def test_search_of_one_vector_many_times(spark):
+    rows = [(i, [1.0, 2.0] if i % 3 else [float(i), 1.0]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, df.where("vec_id % 20 = 0"), k=5, block=32, query_block=4).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert len(by) == 30 and all(len(v) == 5 for v in by.values())
+
+
+def test_parts_grow_with_the_sample_and_small_tables_have_one():
+    assert [ann.parts_for(n, 64) for n in (1, 15, 16, 64, 65, 128, 129, 500, 2000, 8192)] == [1, 1, 2, 2, 2, 2, 4, 8, 32, 128]
 
 
 def test_search_small_odd_and_tied(spark):
