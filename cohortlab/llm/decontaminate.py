@@ -1,19 +1,20 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-Words are runs of letters and digits, lower-cased, known by a 64-bit hash.
-Each test item gives its word n-grams, all of which are seeds, however many
-documents hold them: an edited or partial copy of an item that is copied very
-often has no n-grams but frequent ones. One pass over the training texts cuts
-the windows around seeds out; seeds join windows to items, and a local
-alignment scores each window against each item it shares a seed with. Edited
-and paraphrased copies keep some seeds and align with a few gaps and
-mismatches. Pairs with too few words in common to reach the score are not
-aligned, which loses none.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+
+Words are runs of letters and digits, lower-cased, known by a 64-bit hash. One pass over the training texts
+cuts the windows around n-grams of test items out. A copy that must be found shares at least t n-grams
+with its item (``least_shared``), so it also holds one of the item's seeds: all its n-grams but the t - 1 most common
+ones, by the items and then by the windows that hold them. Seeds join windows to items; a pair that shares
+fewer than t n-grams goes, and a local alignment scores the others, each around the n-grams that the pair
+shares. Edited and paraphrased copies keep some n-grams and align with a few gaps and mismatches. Pairs with
+too few words in common to reach the score are not aligned, which loses none.
 
 The pass looks n-grams up in a bitmap of a fixed size (2 MB) that Spark
 builds from the items, however many there are; false hits go at the exact
 join. So nothing that grows with either table is collected or broadcast, and
 only windows around n-grams of items leave the scan.
+
+What the seeds can't see: three words in a row must survive t times. An edit of every third word, or a word put in
+after every second one, leaves none, though it may score 0.5.
 """
 
 from __future__ import annotations
@@ -27,10 +28,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import arrow_map, checkpointed, join_per_key
+from pyspark.sql import Window as W
+
+from cohortlab.llm.common import arrow_map, checkpointed
+from cohortlab.session import bounded_broadcast
 
 # Words of a seed. Three survive an edit of every fourth word.
 GRAM = 3
+# A copy shares this part of its item's n-grams, but needn't share more than so many: 25 words edited at every
+# fourth place (a quarter is left), or cut out of a long item, still have them.
+SHARED_PART, SHARED_MOST = 5, 4
+# Words of items that are broadcast at most, beside the bound on rows.
+HOT_WORDS = 4_000_000
 # Bits of the bitmap, as a power of two: 2 MB whatever the number of items.
 MAP_BITS = 24
 # Scores of a match, a mismatch and a gapped word.
@@ -173,8 +182,32 @@ def align_batches(order: list[int], size: list[int]) -> Iterator[list[int]]:
         yield ks
 
 
+def least_shared(m: int) -> int:
+    """Distinct n-grams that a copy of an item of ``m`` must share with it."""
+    return max(1, min(m // SHARED_PART, SHARED_MOST))
+
+
+def segments(window: np.ndarray, grams: np.ndarray, length: int, n: int) -> list[tuple[int, int]]:
+    """Stretches of a window that an item of ``length`` words can be aligned to: its words to both sides of the
+    n-grams that both hold, those that overlap taken together."""
+    at = np.flatnonzero(np.isin(gram_hashes(window.view(np.uint64), n), grams.view(np.uint64)))
+    parts = np.split(at, np.flatnonzero(np.diff(at) > 2 * length + n) + 1) if len(at) else []
+    return [(max(0, int(p[0]) - length), min(len(window), int(p[-1]) + n + length)) for p in parts]
+
+
+def _spread(rows: DataFrame, table: DataFrame, key: str, n: str, small: bool = True, share: int = 1000) -> DataFrame:
+    """``rows`` joined to all rows of ``table`` with their ``key``; ``n`` counts the key's rows in ``rows``. Keys with more than one
+    in ``share`` of all rows go by broadcast where that is proven small, so their rows don't meet in one task."""
+    total = table.select(key, n).distinct().agg(F.sum(n)).first()[0] or 0
+    is_hot = F.col(n) * share > F.lit(total)
+    hot, cold = table.where(is_hot).drop(n), table.where(~is_hot).drop(n)
+    by_hot = rows.join(F.broadcast(hot.select(key).distinct()), key, "left_semi")  # fewer than ``share`` keys
+    rest = rows.join(F.broadcast(hot.select(key).distinct()), key, "left_anti")
+    return by_hot.join(bounded_broadcast(hot) if small else hot, key).unionByName(rest.join(cold, key))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text: str = "text", gram: int = GRAM, rare_docs: int = 20,
+                 item_col: str = "item_id", item_text: str = "text", gram: int = GRAM,
                  min_score: float = 0.5, min_words: int = 25) -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word): documents that hold a
     test item or an edited copy, with the best window of each pair.
@@ -185,51 +218,60 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     in the document. Null or empty texts and items shorter than ``gram`` words
     match nothing; rows that repeat an id are one document, rows with a null
     id are examined and reported with a null id; items that repeat an id are
-    one item with several texts. Other columns are not used. ``rare_docs`` has
-    no effect any more: n-grams are seeds in however many documents they stand.
-    The work grows with the pairs of a window and an item that share an n-gram.
+    one item with several texts, items of equal words are aligned once. Other columns are not used.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    tests = checkpointed(item_grams(items, item_col, item_text, gram))
-    grams = tests.select("item_id", F.explode("grams").alias("gram")).distinct()
-    longest = tests.agg(F.max(F.size("words"))).first()[0] or 0
+    tests = item_grams(items, item_col, item_text, gram).withColumn("item", F.md5(F.array_join(F.col("words").cast("array<string>"), ",").cast("binary")))
+    tests = checkpointed(tests)
+    unique = checkpointed(tests.select("item", "words", F.array_distinct("grams").alias("grams")).dropDuplicates(["item"]))
+    grams = unique.select("item", F.size("grams").alias("m"), F.explode("grams").alias("gram"))
+    longest = unique.agg(F.max(F.size("words"))).first()[0] or 0
     found = checkpointed(windows(texts, bitmap(grams), gram, longest).withColumn("mark", F.xxhash64("words"))
                          .dropDuplicates(["doc_id", "start", "mark"]))
     key = ["doc_id", "start", "mark"]
-    # Neither a frequent n-gram nor an item with very many copies may meet in one task.
     hits = found.select(*[F.col(c).alias(f"of_{c}") for c in key], F.explode("hits").alias("gram"))
-    holders = grams.groupBy("gram").agg(F.collect_list("item_id").alias("holders"))
-    by_gram = holders.join(hits.groupBy("gram").agg(F.count("*").alias("n")), "gram")
-    pairs = checkpointed(join_per_key(hits, by_gram, "gram")
-                         .select(*[f"of_{c}" for c in key], F.explode("holders").alias("item_id")).distinct())
-    texts_of = tests.groupBy("item_id").agg(F.collect_set("words").alias("texts"))
-    by_item = texts_of.join(pairs.groupBy("item_id").agg(F.count("*").alias("n")), "item_id")
-    named = join_per_key(pairs, by_item, "item_id").withColumn("words", F.explode("texts")).drop("texts")
+    # The seeds of an item, from its rarest n-gram on.
+    shared = F.greatest(F.lit(1), F.least(F.floor(F.col("m") / SHARED_PART), F.lit(SHARED_MOST)))
+    held = grams.groupBy("gram").agg(F.count("*").alias("holders")).join(hits.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left")
+    order = W.partitionBy("item").orderBy("holders", F.coalesce("n", F.lit(0)), "gram")
+    seeds = checkpointed(grams.join(held, "gram").withColumn("rank", F.row_number().over(order)).where(
+        (F.col("rank") <= F.col("m") - shared + 1) & F.col("n").isNotNull()).select("gram", "item", "n"))
+    pairs = checkpointed(_spread(hits, seeds, "gram", "n").select(*[f"of_{c}" for c in key], "item").distinct())
+    asked = unique.join(pairs.groupBy("item").agg(F.count("*").alias("n")), "item").withColumn("m", F.size("grams")).withColumn("least", shared).drop("m")
+    asked = checkpointed(asked)
+    words = asked.where(F.col("n") * 1000 > F.lit(pairs.count())).agg(F.sum(F.size("words"))).first()[0] or 0
+    named = _spread(pairs, asked, "item", "n", small=words <= HOT_WORDS)
     same = F.col("of_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("of_start") == F.col("start")) & (F.col("of_mark") == F.col("mark"))
-    windowed = found.select(*key, F.col("words").alias("window"))
-    both = windowed.join(named, same).select("item_id", "doc_id", "start", "window", "words")
+    windowed = found.select(*key, F.col("words").alias("window"), "hits")
+    both = windowed.join(named, same).where(F.size(F.array_intersect("hits", "grams")) >= F.col("least"))
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         item, doc, start = (b.column(k).to_pylist() for k in range(3))
-        win, words = ([np.array(x.values, dtype=np.int64) for x in b.column(k)] for k in (3, 4))
+        win, words, own = ([np.array(x.values, dtype=np.int64) for x in b.column(k)] for k in (3, 4, 5))
         out = []
-        size = [len(w) for w in win]
         enough = [min(min_score * MATCH * len(w), MATCH * min_words) for w in words]
-        able = (k for k in range(b.num_rows) if MATCH * most_matches(words[k], win[k]) >= enough[k])
-        for ks in align_batches(sorted(able, key=size.__getitem__), size):
-            best, stop = smith_waterman([words[k] for k in ks], [win[k] for k in ks])
-            hit = [(k, s, int(e)) for k, s, e in zip(ks, best.tolist(), stop) if s >= enough[k]]
+        parts = []  # (row, where the part starts, its words)
+        for k in range(b.num_rows):
+            parts += [(k, lo, part) for lo, hi in segments(win[k], own[k], len(words[k]), gram)
+                      if MATCH * most_matches(words[k], part := win[k][lo:hi]) >= enough[k]]
+        size = [len(p) for _, _, p in parts]
+        for ks in align_batches(sorted(range(len(parts)), key=size.__getitem__), size):
+            best, stop = smith_waterman([words[parts[p][0]] for p in ks], [parts[p][2] for p in ks])
+            hit = [(p, s, int(e)) for p, s, e in zip(ks, best.tolist(), stop) if s >= enough[parts[p][0]]]
             if hit:  # where it begins: the same alignment, read backwards from its end
-                _, back = smith_waterman([words[k][::-1] for k, _, _ in hit], [win[k][:e][::-1] for k, _, e in hit])
-                out += [(doc[k], item[k], s / (MATCH * len(words[k])), start[k] + e - int(r), start[k] + e)
-                        for (k, s, e), r in zip(hit, back)]
+                _, back = smith_waterman([words[parts[p][0]][::-1] for p, _, _ in hit], [parts[p][2][:e][::-1] for p, _, e in hit])
+                for (p, s, e), r in zip(hit, back):
+                    k, lo, _ = parts[p]
+                    out.append((doc[k], item[k], s / (MATCH * len(words[k])), start[k] + lo + e - int(r), start[k] + lo + e))
         cols = list(zip(*out)) if out else [()] * 5
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+        kinds = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                          names=["doc_id", "item_id", "score", "start_word", "end_word"])
+                                          names=["doc_id", "item", "score", "start_word", "end_word"])
 
-    hits = arrow_map(both, run, "doc_id long, item_id long, score double, start_word long, end_word long")
+    aligned = arrow_map(both.select("item", "doc_id", "start", "window", "words", "grams"), run,
+                        "doc_id long, item string, score double, start_word long, end_word long")
+    each = aligned.join(tests.select("item", "item_id").distinct(), "item")
     best = F.max(F.struct("score", (-F.col("start_word")).alias("before"), "end_word")).alias("best")
-    return hits.groupBy("doc_id", "item_id").agg(best).select(
+    return each.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", F.col("best.score").alias("score"), (-F.col("best.before")).alias("start_word"),
         F.col("best.end_word").alias("end_word"))

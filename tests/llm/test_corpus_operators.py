@@ -377,7 +377,7 @@ def test_copies_edits_and_clean_documents(spark):
     rows += [(7000 + k, "!! " + " ".join(items[4]) + " " + str(k)) for k in range(40)] + [rows[0]]  # one item in very many documents
     want |= {(6001, 3)} | {(7000 + k, 4) for k in range(40)}
     bench = spark.createDataFrame([(k, " ".join(v), 1) for k, v in items.items()] + [(90, None, 1), (91, "", 1), (92, "w1 w2", 1)], "item_id long, text string, hits int")
-    got = decontaminate.contaminated(docs(spark, [(*r, 1) for r in rows], ", words int"), bench, rare_docs=2).collect()
+    got = decontaminate.contaminated(docs(spark, [(*r, 1) for r in rows], ", words int"), bench).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
     exact = next(r for r in got if r["doc_id"] == 6001)
     assert (exact["score"], exact["start_word"], exact["end_word"]) == (1.0, 0, len(items[3]))
@@ -421,6 +421,59 @@ def test_decontamination_query_against_exact_search(spark):
     assert exact and exact <= got
 
 
+def test_decontamination_against_exhaustive_alignment(spark, sf):
+    grams = lambda w: {tuple(w[k:k + 3]) for k in range(len(w) - 2)}
+    words = lambda t: decontaminate.word_hashes(t, decontaminate._known()).view(np.int64)
+    items = {r["item_id"]: words(r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    texts = {r["doc_id"]: words(r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    # Beside the given documents: edits and cuts of items, some below what counts.
+    rng = random.Random(1)
+    for n, (i, w) in enumerate(sorted(items.items())[:40]):
+        some = rng.choice([t for t in texts.values() if len(t) > 60])
+        copy = [x if k % rng.choice([4, 5, 7]) else rng.getrandbits(40) for k, x in enumerate(w)][rng.randrange(4):rng.randint(len(w) // 3, len(w))]
+        texts[10_000 + n] = np.array([*some[:20], *copy, *some[20:50]], np.int64)
+    held = {i: grams(w.tolist()) for i, w in items.items()}
+    want = {}
+    for d, w in texts.items():
+        own = grams(w.tolist())
+        asked = [i for i in items if len(held[i] & own) >= decontaminate.least_shared(len(held[i]))]
+        for at in range(0, len(asked), 32):
+            ks = asked[at:at + 32]
+            best, _ = decontaminate.smith_waterman([items[i] for i in ks], [w] * len(ks))
+            want |= {(d, i): b / (2 * len(items[i])) for i, b in zip(ks, best.tolist()) if b >= min(len(items[i]), 50)}
+    names = {h: f"x{h % 2**64:x}" for w in [*texts.values(), *items.values()] for h in w.tolist()}  # a word for each hash
+    text = lambda w: " ".join(names[h] for h in w.tolist())
+    bench = spark.createDataFrame([(i, text(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.contaminated(docs(spark, [(d, text(w)) for d, w in texts.items()]), bench).collect()}
+    assert len(want) > 20 and got == pytest.approx(want)
+
+
+def test_seeds_are_the_rarest_grams(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [f"v{rng.getrandbits(40)}" for _ in range(n)]
+    common = "one of the best".split()
+    # Every item and every document holds the common run; a few documents hold an item.
+    items = [fresh(12) + common + fresh(12) for _ in range(30)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)] + [(100, " ".join(items[0]))], "item_id long, text string")
+    rows = [(k, " ".join(fresh(30) + common + fresh(30))) for k in range(200)] + [(1000 + k, " ".join(fresh(9) + items[k] + fresh(9))) for k in range(5)]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+    assert got == {(1000 + k, k) for k in range(5)} | {(1000, 100)}
+
+
+def test_a_very_long_document_is_aligned_in_parts(spark):
+    rng = random.Random(9)
+    vocab = [f"w{k}" for k in range(3000)]
+    item = [rng.choice(vocab) for _ in range(60)]
+    long = [rng.choice(vocab) for _ in range(300_000)]
+    for k in range(0, 300_000, 400):  # a common run all over the document: one window
+        long[k:k + 3] = item[:3]
+    long[200_100:200_160] = item
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = decontaminate.contaminated(docs(spark, [(5, " ".join(long)), (6, " ".join(long[:200_000]))]), bench).collect()
+    assert [(r["doc_id"], r["score"], r["start_word"], r["end_word"]) for r in got] == [(5, 1.0, 200_100, 200_160)]
+    assert len(decontaminate.segments(np.arange(1000), np.zeros(0, np.int64), 10, 3)) == 0
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_against_brute_force(spark, sf):
