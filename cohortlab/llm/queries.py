@@ -108,7 +108,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> D
 @register("op3_quality_classifier")
 def op3(spark: SparkSession, d: str) -> DataFrame:
     out = quality_scores(table(spark, d, "documents"), table(spark, d, "labels"))
-    return out.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+    return out.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 @register("op9_simhash_near_dedup")
@@ -141,7 +141,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 @register("op2_toxicity")
 def op2(spark: SparkSession, d: str) -> DataFrame:
     out = toxicity_scores(table(spark, d, "documents"), table(spark, d, "labels"))
-    return out.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+    return out.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 @register("op5_html_main_text")

@@ -1,9 +1,13 @@
 """Toxicity by compression distance.
 
 Two pairs of zstandard dictionaries come from bounded samples of labelled texts.
-The first pair is trained: one dictionary on windows of all toxic texts, the
-other on as many windows of ordinary ones. It tells phrases and topics, also
-those made of ordinary words.
+The first pair is trained: one dictionary on windows of toxic texts, the
+other on windows of ordinary ones, both followed by the same ordinary part. Most of a toxic text is ordinary, so
+the toxic windows are chosen in rounds: the toxic texts are halved, each half is compressed with the
+dictionaries of the other, and the windows that the toxic one shortens more than it shortens nearly all
+ordinary windows train the next. What only one text says (or a copy of it) is not chosen, what
+toxic texts have in common is. A window stands for a word and its neighbours, once for each word before it. Windows
+of the whole texts are trained on beside them, for phrases of ordinary words.
 
 The second pair tells words. Both of it hold the same ordinary part, trained on
 ordinary windows; the toxic one adds toxic words: words that begin with a stem which follows many more
@@ -12,8 +16,8 @@ before a stem, not how often it stands there, keeps the own words of a text
 with many copies out.) The ordinary one adds as many bytes of ordinary text
 instead, so on ordinary windows the two compress about alike.
 
-A text is cut into windows of whole words, long ones for the first pair and
-overlapping short ones for the second, each compressed with either
+A text is cut into windows of whole words, one after the other for the first pair and
+overlapping for the second, each compressed with either
 dictionary of the pair. The differences of the two lengths over all windows of the
 whole text (the largest ones, number and share of windows above each of some
 thresholds) are calibrated by a logistic fit on labelled rows that the
@@ -34,11 +38,14 @@ from pyspark.sql import functions as F
 from cohortlab.llm.common import arrow_map, checkpointed
 
 WINDOW, STEP = 48, 24
-# Windows of the trained pair, which do not overlap.
-LONG = 128
+# Windows of the trained pair, which do not overlap, and the differences that are counted there.
+LONG = 64
+LONG_THRESHOLDS = (1, 2, 4)
+# Words of a window that the trained pair is chosen from.
+AROUND = 4
 # Length differences (bytes) whose shares of windows are counted.
 THRESHOLDS = (1, 2, 3, 4, 5, 6, 8, 10)
-N_FEATURES = 2 * len(THRESHOLDS) + 8 + 5
+N_FEATURES = 2 * len(THRESHOLDS) + 8 + len(LONG_THRESHOLDS) + 5
 # Bytes by which a toxic word is known: a space and the next four to eight.
 STEMS = (5, 6, 7, 8, 9)
 
@@ -74,18 +81,26 @@ class Dictionaries:
         import zstandard as zs
 
         out = []
-        for pair, window, kind in (((self.toxic, self.ordinary), WINDOW, zs.DICT_TYPE_RAWCONTENT),
-                                   ((self.toxic_trained, self.ordinary_trained), LONG, zs.DICT_TYPE_AUTO)):
-            params = zs.ZstdCompressionParameters.from_level(
-                3, source_size=window, dict_size=max(map(len, pair)), min_match=4, strategy=zs.STRATEGY_LAZY2,
-                write_content_size=False, write_checksum=False, write_dict_id=False, format=zs.FORMAT_ZSTD1_MAGICLESS)
-            for content in pair:
-                d = zs.ZstdCompressionDict(content, dict_type=kind)
-                d.precompute_compress(compression_params=params)
-                out.append(zs.ZstdCompressor(compression_params=params, dict_data=d).compress)
+        for pair, window in (((self.toxic, self.ordinary), WINDOW), ((self.toxic_trained, self.ordinary_trained), LONG)):
+            out += compressors(pair, window)
         return out
 
 
+def compressors(pair: tuple[bytes, bytes], window: int) -> list:
+    """A compressor for windows of about ``window`` bytes with each dictionary, given as its content."""
+    import zstandard as zs
+
+    params = zs.ZstdCompressionParameters.from_level(
+        3, source_size=window, dict_size=max(map(len, pair)), min_match=4, strategy=zs.STRATEGY_LAZY2,
+        write_content_size=False, write_checksum=False, write_dict_id=False, format=zs.FORMAT_ZSTD1_MAGICLESS)
+    out = []
+    for content in pair:
+        d = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(compression_params=params)
+        out.append(zs.ZstdCompressor(compression_params=params, dict_data=d).compress)
+    return out
+
+
 def toxic_stems(toxic: set, ordinary: set, ratio: float, evidence: float, min_contexts: int) -> dict[bytes, float]:
     """Stems with the evidence (twice the log-likelihood ratio) that they are
     commoner after toxic words than ordinary ones; both sets hold (word before, word)."""
@@ -104,30 +119,71 @@ def toxic_stems(toxic: set, ordinary: set, ratio: float, evidence: float, min_co
     return out
 
 
-def trained(samples: list[bytes], size: int) -> bytes:
+def trained(samples: list[bytes], size: int, **how) -> bytes:
     """A dictionary trained on the samples; their bytes as they are if those are too few."""
     import zstandard as zs
 
     try:
-        return zs.train_dictionary(size, samples).as_bytes()
+        return zs.train_dictionary(size, samples, **how).as_bytes()
     except zs.ZstdError:
         return b"".join(samples)[:size]
 
 
-def train_dictionaries(texts: list[str], toxic: list[int], base_bytes: int = 32768, pair_bytes: int = 4096, ratio: float = 6.0,
+def contexts(lines: list[bytes], words: int = AROUND) -> list[bytes]:
+    """A window of ``words`` words for each different pair of neighbours, where it first stands."""
+    seen, out = set(), []
+    for line in lines:
+        ws = line.split()
+        for i, pair in enumerate(zip([b"", *ws], ws)):
+            if pair not in seen:
+                seen.add(pair)
+                at = max(0, i - 1)
+                out.append(b" " + b" ".join(ws[at:at + words]) + b" ")
+    return [w for w in out if len(w) >= 8]
+
+
+def telling_windows(toxic: list[bytes], ordinary: list[bytes], base: bytes, size: int, rounds: int, share: float,
+                    rng: np.random.Generator) -> tuple[list[bytes], list[bytes]]:
+    """Windows of toxic lines that a dictionary trained on other toxic lines shortens most, and ordinary ones.
+
+    A window is kept if it gains more than all but ``share`` (halved each round) of the ordinary windows."""
+    bad, fine = [contexts(toxic[i::2]) for i in (0, 1)], [contexts(ordinary[i::2]) for i in (0, 1)]
+    copied = set(bad[0]) & set(bad[1])
+    bad = [[w for w in half if w not in copied] for half in bad]
+    for half in (*bad, *fine):
+        rng.shuffle(half)
+    kept, plain = bad, [f[:len(b)] for f, b in zip(fine, bad)]
+    for r in range(rounds):
+        new = []
+        for own, other in ((0, 1), (1, 0)):
+            t, o = compressors((trained(kept[other], size, d=6, k=24) + base, trained(plain[other], size, d=6, k=24) + base), LONG)
+            gain = lambda ws: np.array([len(o(w)) - len(t(w)) for w in ws])  # noqa: E731, B023
+            beside = gain(fine[own][len(bad[own]):3 * len(bad[own])] or plain[own])
+            cut = max(1.0, np.quantile(beside, 1 - share / 2 ** r)) if len(beside) else 1.0
+            new.append([w for w, g in zip(bad[own], gain(bad[own])) if g >= cut])
+        if min(map(len, new)) < 20:
+            break
+        kept = new
+    return kept[0] + kept[1], plain[0] + plain[1]
+
+
+def train_dictionaries(texts: list[str], toxic: list[int], base_bytes: int = 32768, base_samples: int = 60_000, base_stride: int = 128,
+                       pair_bytes: int = 4096, round_bytes: int = 2048, rounds: int = 3, share: float = 0.05, ratio: float = 6.0,
                        evidence: float = 30.0, min_contexts: int = 3, seed: int = 5) -> Dictionaries | None:
-    """Dictionaries of a bounded sample; None if it has too little of either kind."""
+    """Dictionaries of a bounded sample; None if it has too little of either kind.
+
+    The ordinary part is trained on 64 of every ``base_stride`` bytes of ordinary texts, ``base_samples`` of these pieces at most."""
     rng = np.random.default_rng(seed)
     seen: tuple[set, set] = (set(), set())
     pieces: list[bytes] = []
-    long: tuple[list[bytes], list[bytes]] = ([], [])
+    lines: tuple[list[bytes], list[bytes]] = ([], [])
     for text, y in zip(texts, toxic):
         line = normal(text)
         own = [b" " + w for w in line.split()]
         seen[1 if y else 0].update(zip([b""] + own[:-1], own))
-        long[1 if y else 0].extend(windows(line, LONG, LONG))
+        lines[1 if y else 0].append(line)
         if not y:
-            pieces += [line[i:i + 64] for i in range(0, max(1, len(line) - 64 + 128), 128)]
+            pieces += [line[i:i + 64] for i in range(0, max(1, len(line) - 64 + base_stride), base_stride)]
     stems = toxic_stems(seen[1], seen[0], ratio, evidence, min_contexts)
     words = Counter(w for _, w in seen[1])
     add = []
@@ -135,7 +191,7 @@ def train_dictionaries(texts: list[str], toxic: list[int], base_bytes: int = 327
     for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0])):
         if any(w[:k] in stems for k in STEMS if len(w) >= k):
             add.append(w)
-    if not long[1] or len(pieces) < 100:
+    if not lines[1] or len(pieces) < 100:
         return None
     # The commonest words come last, where a match costs least.
     toxic_part = b"".join(reversed(add)) + b" "
@@ -143,10 +199,15 @@ def train_dictionaries(texts: list[str], toxic: list[int], base_bytes: int = 327
     rest = max(1, len(pieces) // 20)
     filler = b"".join(pieces[i] for i in order[:rest])
     filler = (filler * (len(toxic_part) // max(1, len(filler)) + 1))[:len(toxic_part)]
-    samples = [pieces[i] for i in order[rest:rest + 60_000] if len(pieces[i]) >= 8]
+    samples = [pieces[i] for i in order[rest:rest + base_samples] if len(pieces[i]) >= 8]
     base = trained(samples, base_bytes)
-    fine = [long[0][i] for i in rng.permutation(len(long[0]))[:len(long[1])]]
-    return Dictionaries(toxic_part + base, filler + base, trained(long[1], pair_bytes), trained(fine, pair_bytes))
+    telling, plain = telling_windows(lines[1], lines[0], base, round_bytes, rounds, share, rng)
+    plain = plain[:max(500, len(telling))]
+    # Phrases that many texts repeat word for word are no common contexts: windows of the whole texts bring them in.
+    whole = [[w for line in lines[y] for w in windows(line, 2 * LONG, 2 * LONG)] for y in (1, 0)]
+    whole[1] = [whole[1][i] for i in rng.permutation(len(whole[1]))[:len(whole[0])]]
+    pair = [trained(every, pair_bytes // 2) + trained(some, pair_bytes, d=6, k=24) + base for some, every in zip((telling, plain), whole)]
+    return Dictionaries(toxic_part + base, filler + base, *pair)
 
 
 def features(text: str | None, toxic, ordinary, toxic_trained, ordinary_trained) -> list[float]:
@@ -159,7 +220,8 @@ def features(text: str | None, toxic, ordinary, toxic_trained, ordinary_trained)
     above = np.array([(d >= t).sum() for t in THRESHOLDS])
     n, one = np.log1p(len(d)), 1 / (len(d) + 1)
     return [*np.log1p(above), *np.log(above / len(d) + one), top[0], top[1], top[2], top[4], n, n * n,
-            np.log((d < 0).mean() + one), d.mean(), t.mean(), best[0], best[1], best[2], (t > 0).mean()]
+            np.log((d < 0).mean() + one), d.mean(), *(np.log1p((t >= k).sum()) for k in LONG_THRESHOLDS),
+            t.mean(), best[0], best[1], best[2], (t > 0).mean()]
 
 
 def with_features(docs: DataFrame, dictionaries: Dictionaries, id_col: str, text_col: str) -> DataFrame:
@@ -202,14 +264,15 @@ def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> Calibration:
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             dictionary_rows: int = 6000, calibration_rows: int = 20_000) -> DataFrame:
+             dictionary_rows: int = 6000, calibration_rows: int = 20_000, dictionary_chars: int = 50_000) -> DataFrame:
     """(doc_id, score, predicted) for every row of ``docs``.
 
     ``labels`` (doc_id, y in 0/1, one row per document) teach: two thirds of
     them by a hash of the id are for the dictionaries, of which the
-    ``dictionary_rows`` of smallest hash are used, one third for the
-    calibration, of which ``calibration_rows`` are. Those two parameters bound
-    the fit; every row of ``docs`` is scored on its whole text. With one label
+    ``dictionary_rows`` of smallest hash are used (of each the first ``dictionary_chars`` code points of one text, the
+    smallest if an id repeats), one third for the
+    calibration, of which ``calibration_rows`` are, one row each. Those parameters bound
+    the fit in rows and bytes; every row of ``docs`` is scored on its whole text. With one label
     only, or no usable rows, every score is the share of label 1 (0.5 without
     labels). Null and empty texts are scored like any other, as one empty
     window. Rows that repeat an id are all scored; rows with a null id are
@@ -220,7 +283,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # At most dictionary_rows ids, so the join may broadcast them.
     picked = hashed.where(part != 0).orderBy("h", "doc_id").limit(dictionary_rows).select("doc_id", "y")
-    rows = texts.join(F.broadcast(picked), "doc_id").orderBy("doc_id", "text").collect()
+    rows = (texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y")
+            .agg(F.min(F.substring("text", 1, dictionary_chars)).alias("text")).orderBy("doc_id").collect())
     made = train_dictionaries([r["text"] for r in rows], [r["y"] for r in rows])
     if made is None:
         share = labels.agg(F.avg("y")).first()[0]
@@ -228,7 +292,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         return flat.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
     x = checkpointed(with_features(docs, made, id_col, text_col))
     unseen = hashed.where(part == 0).orderBy("h", "doc_id").limit(calibration_rows).select("doc_id", "y")
-    fit = x.join(F.broadcast(unseen), "doc_id").orderBy("doc_id", "x").collect()
+    fit = x.join(F.broadcast(unseen), "doc_id").groupBy("doc_id", "y").agg(F.min("x").alias("x")).orderBy("doc_id").collect()
     y = np.array([r["y"] for r in fit], dtype=float)
     if len(y) and 0 < y.mean() < 1:
         model = calibrate(np.array([r["x"] for r in fit]), y)

@@ -539,3 +539,35 @@ def test_every_dealt_query_is_registered():
         "op1_pii_pseudonyms", "op2_toxicity", "op3_quality_classifier", "op4_line_dedup", "op5_html_main_text", "op6_chat_format",
         "op7_learned_partitions", "op8_piece_encode", "op9_simhash_near_dedup", "op10_benchmark_decontamination"]
     assert piece_bpe.load(queries.model_path()) is piece_bpe.load(queries.model_path())
+
+
+# ---------------------------------------------------------------- the trained pair of op2
+
+def test_trained_pair_alone_tells_toxic_texts():
+    """Words of two languages, none of them a listed stem: chosen from one half of the texts, told in the other."""
+    rng = random.Random(12)
+    syllables = [a + b for a in "bcdfglmnprst" for b in ("a", "en", "i", "or", "u")]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
+    bad = ["quixvex", "jazzwyk", "vyxquaj"]
+    line = lambda toxic: toxicity.normal(" ".join(rng.choice(bad) if toxic and rng.random() < 0.05 else word() for _ in range(150)))
+    fine, ill = [line(False) for _ in range(300)], [line(True) for _ in range(80)]
+    base = toxicity.trained([x[i:i + 64] for x in fine[:100] for i in range(0, len(x), 128)], 8192)
+    chosen, plain = toxicity.telling_windows(ill[:40], fine[100:200], base, 2048, 3, 0.05, np.random.default_rng(0))
+    assert sum(any(b.encode() in w for b in bad) for w in chosen) > 0.8 * len(chosen) > 0
+    t, o = toxicity.compressors((toxicity.trained(chosen, 4096, d=6, k=24) + base, toxicity.trained(plain[:500], 4096, d=6, k=24) + base), toxicity.LONG)
+    best = lambda x: sum(sorted((len(o(w)) - len(t(w)) for w in toxicity.windows(x, 64, 64)), reverse=True)[:3])
+    told, others = [best(x) for x in ill[40:]], [best(x) for x in fine[200:]]
+    assert np.mean([a > b for a in told for b in others]) > 0.95
+
+
+def test_contexts_count_a_pair_of_neighbours_once():
+    assert toxicity.contexts([b" a bb ccc dddd ", b" a bb ccc dddd "], 4) == [b" a bb ccc dddd ", b" a bb ccc dddd ", b" bb ccc dddd ", b" ccc dddd "]
+    assert toxicity.contexts([b" "]) == []
+
+
+def test_learning_rows_that_repeat_an_id_count_once(spark, sf):
+    src = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").selectExpr("doc_id", "toxic as y").distinct()
+    once = {(r["doc_id"], round(r["score"], 9)) for r in toxicity.classify(src, labels).collect()}
+    twice = toxicity.classify(src.unionByName(src), labels).collect()
+    assert {(r["doc_id"], round(r["score"], 9)) for r in twice} == once and len(twice) == 2 * len(once)
