@@ -205,6 +205,27 @@ class Labeller:
         both = np.concatenate(hs, 2)
         return both @ self.p["out"] + x @ self.p["skip"] + self.p["bias"][0], (both, kept, flip, there)
 
+    def logits(self, x: np.ndarray, n: np.ndarray, step: int = 2048) -> np.ndarray:
+        """The logits of ``run`` alone: no states are kept, gates are made for ``step`` blocks at a time."""
+        rows = np.arange(x.shape[1])
+        flip = np.where(rows < n[:, None], n[:, None] - 1 - rows, rows)
+        z = x @ self.p["skip"] + self.p["bias"][0]
+        for k, way in enumerate("fb"):
+            own = self.p["out"][k * HIDDEN:(k + 1) * HIDDEN]
+            h = c = np.zeros((len(x), HIDDEN))
+            told = np.empty(x.shape[:2])
+            for at in range(0, x.shape[1], step):
+                part = x[:, at:at + step] if way == "f" else np.take_along_axis(x, flip[:, at:at + step, None], 1)
+                pre = part @ self.p[f"w{way}"] + self.p[f"c{way}"]
+                for t in range(pre.shape[1]):
+                    g = pre[:, t] + h @ self.p[f"u{way}"]
+                    s = 1 / (1 + np.exp(-np.clip(g[:, :3 * HIDDEN], -30, 30)))
+                    c = s[:, HIDDEN:2 * HIDDEN] * c + s[:, :HIDDEN] * np.tanh(g[:, 3 * HIDDEN:])
+                    h = s[:, 2 * HIDDEN:] * np.tanh(c)
+                    told[:, at + t] = h @ own
+            z += told if way == "f" else np.take_along_axis(told, flip, 1)
+        return z
+
     def gradients(self, pages, x, dlogit, kept, seen) -> dict[str, np.ndarray]:
         both, ways, flip, _ = kept
         g = {"out": np.einsum("pt,pth->h", dlogit, both), "skip": np.einsum("pt,ptd->d", dlogit, x), "bias": np.array([dlogit.sum()])}
@@ -274,7 +295,7 @@ class Labeller:
                 to += 1
             group = order[at:to]
             x, n = self.inputs([pages[k] for k in group])
-            z, _ = self.run(x, n)
+            z = self.logits(x, n)
             for r, k in enumerate(group):
                 out[k] = z[r, :n[r]] > 0
             at = to

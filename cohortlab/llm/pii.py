@@ -18,7 +18,7 @@ Rules (checked in this order; what overlaps an earlier find is skipped):
   check digit is made anew, so the pseudonym passes it as well
 - SSN: ddd-dd-dddd with valid area, group and serial number
 - date: yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy that is in the calendar, within
-  the years 1900 to 2099
+  the years 1900 to 2099; mm/dd/yyyy with a day above 12, which stays above 12
 - IPv4: four numbers to 255
 - phone: an international or North American number with a plus sign,
   brackets or separators, 7 to 15 digits; the country code stays
@@ -56,8 +56,8 @@ _RULES = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}(?:[ .-]\d{2,5}){1,3}(?!\w)|(?<![\w+])\+\d{7,15}(?!\w)",
 }
 _RULE = {k: re.compile(v) for k, v in _RULES.items()}
-# Every rule needs a digit or an at sign; most texts have neither.
-_ANY = re.compile(r"[0-9@]|[0-9A-Fa-f]{32}")
+# Every rule needs a digit or an at sign, but for a key or a secret of letters only; most texts have nothing of it.
+_ANY = re.compile(r"[0-9@]|A[KS]IA|[A-Fa-f]{32}")
 
 
 class Feistel:
@@ -176,14 +176,19 @@ def pseudonym(rule: str, s: str, f: Feistel, back: bool = False) -> str | None:
         area, group = divmod(rank, 99)
         return f"{area + 1 + (area >= 665):03d}-{group + 1:02d}-{serial + 1:04d}"
     if rule == "date":
-        form = "%Y-%m-%d" if s[4] == "-" else "%d/%m/%Y" if s[2] == "/" else "%d.%m.%Y"
+        # Month first only where it can't be the day: then the pseudonym's day is above 12 as well.
+        us = s[2] == "/" and int(s[3:5]) > 12
+        form = "%Y-%m-%d" if s[4] == "-" else "%m/%d/%Y" if us else "%d/%m/%Y" if s[2] == "/" else "%d.%m.%Y"
         try:
             day = datetime.datetime.strptime(s, form).date().toordinal()
         except ValueError:
             return None
         if not FIRST_DAY <= day <= LAST_DAY:
             return None
-        day = FIRST_DAY + f.permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date", back)
+        while True:
+            day = FIRST_DAY + f.permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date", back)
+            if not us or datetime.date.fromordinal(day).day > 12:  # a walk along the cycle stays a bijection
+                break
         return datetime.date.fromordinal(day).strftime(form)
     if rule == "ip":
         parts = [int(x) for x in s.split(".")]

@@ -154,6 +154,21 @@ def test_gradients_match_differences():
         assert abs((up - down) / 2e-5 - g[at]) < 1e-4
 
 
+def test_inference_keeps_no_states():
+    import tracemalloc
+    net = html_blocks.Labeller()
+    own = [html_blocks.vectors(html_blocks.blocks(h)) for h in ("<nav>a b</nav><p>c d e.</p><p>f</p>", "<p>g</p>", "<div><p>h i.</p><ul><li>k</li></ul></div>")]
+    x, n = net.inputs(own)
+    want, (_, _, _, there) = net.run(x, n)
+    for step in (1, 2, 2048):
+        assert np.allclose(np.where(there, net.logits(x, n, step), 0), np.where(there, want, 0), atol=1e-12)
+    long = np.random.default_rng(0).normal(size=(1, 50_000, x.shape[2]))
+    tracemalloc.start()
+    net.logits(long, np.array([50_000]))
+    assert tracemalloc.get_traced_memory()[1] < 60e6  # states of all blocks took 400 MB
+    tracemalloc.stop()
+
+
 # ---------------------------------------------------------------- op7
 
 def brute_near(x, ids, query, k):

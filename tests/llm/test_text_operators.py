@@ -61,6 +61,19 @@ def test_pseudonyms_keep_format_and_can_be_undone(rule, value):
     assert pii.replaced(new, KEY, back=True)[0] == text
 
 
+def test_keys_of_letters_and_dates_with_the_month_first():
+    key = "AKIA" + "ABCDEFGHIJKLMNOP"
+    new, spans = pii.replaced(f"see {key} there", KEY)
+    assert key not in new and [s[0] for s in spans] == ["access_key"] and pii.replaced(new, KEY, back=True)[0] == f"see {key} there"
+    seen = set()
+    for text in (f"{m:02d}/{d}/{y}" for m in range(1, 13) for d in (13, 20, 28) for y in (1950, 1999, 2024)):
+        new, spans = pii.replaced(text, KEY)
+        assert new != text and int(new[3:5]) > 12 and int(new[:2]) <= 12 and pii.replaced(new, KEY, back=True)[0] == text
+        seen.add(new)
+    assert len(seen) == 108
+    assert pii.replaced("13/25/2024", KEY)[0] == "13/25/2024"
+
+
 def test_what_fails_validation_stays():
     for text in ("4111111111111112", "30.02.1999", "DE88370400440532013000", "300.1.2.3", "000-12-3456", "x" * 50_000 + "@", "version 3.1", ""):
         assert pii.replaced(text, KEY) == (text, [])
