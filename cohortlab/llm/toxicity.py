@@ -131,15 +131,20 @@ def trained(samples: list[bytes], size: int, **how) -> bytes:
 
 def contexts(lines: list[bytes], words: int = AROUND) -> list[bytes]:
     """A window of ``words`` words for each different pair of neighbours, where it first stands."""
+    from xxhash import xxh64_intdigest
+
     seen, out = set(), []
     for line in lines:
         ws = line.split()
-        for i, pair in enumerate(zip([b"", *ws], ws)):
+        for i, (before, word) in enumerate(zip([b"", *ws], ws)):
+            pair = xxh64_intdigest(before + b" " + word)
             if pair not in seen:
                 seen.add(pair)
                 at = max(0, i - 1)
-                out.append(b" " + b" ".join(ws[at:at + words]) + b" ")
-    return [w for w in out if len(w) >= 8]
+                window = b" " + b" ".join(ws[at:at + words]) + b" "
+                if len(window) >= 8:
+                    out.append(window)
+    return out
 
 
 def telling_windows(toxic: list[bytes], ordinary: list[bytes], base: bytes, size: int, rounds: int, share: float,
@@ -201,6 +206,14 @@ def train_dictionaries(texts: list[str], toxic: list[int], base_bytes: int = 327
     filler = (filler * (len(toxic_part) // max(1, len(filler)) + 1))[:len(toxic_part)]
     samples = [pieces[i] for i in order[rest:rest + base_samples] if len(pieces[i]) >= 8]
     base = trained(samples, base_bytes)
+    del seen, pieces, samples, words
+    # Three times as much ordinary text as toxic is enough to compare with.
+    left, few = 3 * sum(map(len, lines[1])), []
+    for i in rng.permutation(len(lines[0])):
+        if left > 0:
+            few.append(lines[0][i])
+            left -= len(lines[0][i])
+    lines = (few, lines[1])
     telling, plain = telling_windows(lines[1], lines[0], base, round_bytes, rounds, share, rng)
     plain = plain[:max(500, len(telling))]
     # Phrases that many texts repeat word for word are no common contexts: windows of the whole texts bring them in.
