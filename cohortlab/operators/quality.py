@@ -84,7 +84,7 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def infer_schema(df: DataFrame, domain_limit: int = 20) -> DataFrame:
     """Q5: ``(column, dtype, presence, n_unique, domain)``; ``domain`` lists the
-    sorted distinct values of string columns with at most ``domain_limit``."""
+    sorted distinct values of string columns with at most ``domain_limit`` (``domains`` has all, as rows)."""
     str_cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     ns = null_stats(df).select("column", (1 - F.col("null_share")).alias("presence"))
     dc = distinct_counts(df)
@@ -101,6 +101,12 @@ def infer_schema(df: DataFrame, domain_limit: int = 20) -> DataFrame:
     return out
 
 
+def domains(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Q5: ``(column, value, count)``: all values of the string columns, however many, as rows; nulls are left out."""
+    cols = list(cols or [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"])
+    return to_long(df, cols).where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+
+
 def _ks_lambda_p(d, en) -> F.Column:
     lam = (F.sqrt(en) + 0.12 + F.try_divide(F.lit(0.11), F.sqrt(en))) * d
     s = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),

@@ -32,21 +32,25 @@ def hash_u(key, seed: int = 42) -> Column:
     return F.conv(F.substring(F.md5(s), 1, 15), 16, 10).cast("long")
 
 
+def _histogram(df: DataFrame, u: str, shift: int) -> list:
+    """(b, n) of the buckets of ``u``, in order; at most 2^bits rows."""
+    return (df.groupBy(F.shiftright(F.col(u), shift).alias("b"))
+            .agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect())
+
+
 def rank_cut(df: DataFrame, u: str, key: str, k: int, bits: int = 16,
-             exact_rows: int = 2_000_000):
+             exact_rows: int = 2_000_000, histogram: list | None = None):
     """``(u_k, key_k)`` of the row with 0-based rank ``k`` in ``(u, key)`` order,
-    or ``None`` if ``k >= n``. Rows before it are exactly ``k``."""
+    or ``None`` if ``k >= n``. Rows before it are exactly ``k``. ``histogram``: that of the first ``bits``, if it is there."""
     lo_bit = U_BITS
     sub = df.select(u, key)
     while True:
-        n = sub.count() if lo_bit == U_BITS else None
-        if n is not None and k >= n:
-            return None
         shift = max(lo_bit - bits, 0)
-        hist = (sub.groupBy(F.shiftright(F.col(u), shift).alias("b"))
-                   .agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect())
+        hist = histogram if lo_bit == U_BITS and histogram is not None else _histogram(sub, u, shift)
+        if k >= sum(r["n"] for r in hist):
+            return None
         acc = 0
-        for r in hist:  # at most 2^bits rows
+        for r in hist:
             if acc + r["n"] > k:
                 bucket, inside = r["b"], r["n"]
                 break
@@ -67,8 +71,15 @@ def _before(u: str, key: str, cut) -> Column:
 
 
 def _unique(df: DataFrame, key: str) -> DataFrame:
-    """``df`` if no key repeats (a null counts as a value): exact sizes rest on it."""
-    if not df.groupBy(key).count().where("count > 1").isEmpty():
+    """``df`` if no key repeats (a null counts as a value): exact sizes rest on it.
+
+    Only 8-byte hashes are counted; keys are looked at where a hash repeats."""
+    h = F.xxhash64(F.col(key))
+    again = df.select(h.alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    if again.isEmpty():
+        return df
+    keys = df.select(F.struct(F.col(key)).alias("k"), h.alias("h")).join(again, "h", "left_semi")
+    if not keys.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         raise ValueError(f"{key} repeats; exact sizes need a key that tells all rows apart")
     return df
 
@@ -83,9 +94,9 @@ def train_test(df: DataFrame, key: str, test: float = 0.2, seed: int = 42,
                out: str = "split") -> DataFrame:
     """Adds ``split`` in {'train', 'test'} with exact sizes."""
     d = _unique(df, key).withColumn("__u", hash_u(key, seed))
-    n = d.count()
-    n_train, _ = split_sizes_two(n, test)
-    cut = rank_cut(d, "__u", key, n_train)
+    hist = _histogram(d, "__u", U_BITS - 16)  # the number of rows, and the way to the cut
+    n_train, _ = split_sizes_two(sum(r["n"] for r in hist), test)
+    cut = rank_cut(d, "__u", key, n_train, histogram=hist)
     return d.withColumn(out, F.when(_before("__u", key, cut), "train").otherwise("test")).drop("__u")
 
 
@@ -93,11 +104,11 @@ def train_val_test(df: DataFrame, key: str, rest: float = 0.30, test_of_rest: fl
                    seed: int = 42, out: str = "split") -> DataFrame:
     """70 / 15 / 15 with exact sizes: rest = ceil(0.3 n), test = ceil(0.5 rest)."""
     d = _unique(df, key).withColumn("__u", hash_u(key, seed))
-    n = d.count()
-    n_train, n_rest = split_sizes_two(n, rest)
+    hist = _histogram(d, "__u", U_BITS - 16)  # one for both cuts
+    n_train, n_rest = split_sizes_two(sum(r["n"] for r in hist), rest)
     n_val, _ = split_sizes_two(n_rest, test_of_rest)
-    c1 = rank_cut(d, "__u", key, n_train)
-    c2 = rank_cut(d, "__u", key, n_train + n_val)
+    c1 = rank_cut(d, "__u", key, n_train, histogram=hist)
+    c2 = rank_cut(d, "__u", key, n_train + n_val, histogram=hist)
     return d.withColumn(out, F.when(_before("__u", key, c1), "train")
                               .when(_before("__u", key, c2), "val").otherwise("test")).drop("__u")
 
@@ -105,10 +116,11 @@ def train_val_test(df: DataFrame, key: str, rest: float = 0.30, test_of_rest: fl
 def under_sample(df: DataFrame, group_col: str, group, n: int, key: str, seed: int = 1) -> DataFrame:
     """D3: exactly ``n`` rows of one group (first ``n`` in hash order)."""
     g = _unique(df.where(F.col(group_col) == F.lit(group)), key).withColumn("__u", hash_u(key, seed))
-    size = g.count()
+    hist = _histogram(g, "__u", U_BITS - 16)
+    size = sum(r["n"] for r in hist)
     if n > size:
         raise ValueError(f"Cannot take a larger sample ({n}) than the group ({size})")
-    cut = rank_cut(g, "__u", key, n)
+    cut = rank_cut(g, "__u", key, n, histogram=hist)
     return g.where(_before("__u", key, cut)).drop("__u")
 
 

@@ -227,6 +227,41 @@ def q_l12_stream(spark, d):
             .unionByName(spark.read.parquet(rejects).select("vec_id", F.lit(-1).alias("prediction"))))
 
 
+@register("scored_rows", "SELECT vec_id, vec_id % 97 = 0 AS rejected, CASE WHEN vec_id % 97 = 0 THEN 'expected 64 numbers, got 3' END AS reason FROM embeddings")
+def q_l12_rows(spark, d):
+    """Which rows are scored and which rejected, and why."""
+    train = _embeddings(spark, d)
+    model = L.fit_pipeline([L.estimator("logistic_regression", train.count(), maxIter=5)], train)
+    txt = F.when(F.col("vec_id") % 97 == 0, F.lit("1,2,3")).otherwise(F.concat_ws(",", F.transform("embedding", lambda x: x.cast("double").cast("string"))))
+    scored, rejected = ST.score(model, table(spark, d, "embeddings").withColumn("text", txt), "text", 64, keep=["vec_id"])
+    return scored.select("vec_id", F.lit(False).alias("rejected"), F.lit(None).cast("string").alias("reason")).unionByName(
+        rejected.select("vec_id", F.lit(True).alias("rejected"), "reason"))
+
+
+@register("stream_equals_batch", "SELECT vec_id, TRUE AS same FROM embeddings")
+def q_l12_same(spark, d):
+    """A stream scores every row as the batch does."""
+    train = _embeddings(spark, d)
+    model = L.fit_pipeline([L.estimator("logistic_regression", train.count(), maxIter=5)], train)
+    e = table(spark, d, "embeddings").select("vec_id", F.concat_ws(",", F.transform("embedding", lambda x: x.cast("double").cast("string"))).alias("text"))
+    src, out = scratch_dir(spark, "stream_in"), scratch_dir(spark, "stream_out")
+    e.write.mode("overwrite").parquet(src)
+    q = ST.score_stream(spark, model, src, e.schema, F.col("text"), 64, out, scratch_dir(spark, "stream_rejects"), scratch_dir(spark, "stream_ckpt"), keep=["vec_id"])
+    q.processAllAvailable()
+    q.stop()
+    batch = ST.score(model, e, "text", 64, keep=["vec_id"])[0].withColumnRenamed("prediction", "want")
+    got = spark.read.parquet(out).select("vec_id", "prediction")
+    return batch.join(got, "vec_id", "full").select("vec_id", F.col("prediction").eqNullSafe(F.col("want")).alias("same"))
+
+
+@register("forest_grid")
+def q_l3(spark, d):
+    """L3 + L1: cross-validated accuracy of every point of the forest grid; points that differ in the split minimum only fit the same."""
+    _, scores = L.grid_scores(_three_classes(spark, d), "random_forest", L.RF_GRID, folds=3, fold_col="fold", parallelism=8)
+    return spark.createDataFrame([(p["n_estimators"], p["max_depth"], p["min_samples_split"], p["min_samples_leaf"], m) for p, m in scores],
+                                 "n_estimators int, max_depth int, min_samples_split int, min_samples_leaf int, cv_accuracy double")
+
+
 @register("lda_projection")
 def q_e8(spark, d):
     """Fisher discriminant projection of the 64-d embeddings (9 components)."""

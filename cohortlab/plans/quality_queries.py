@@ -82,6 +82,16 @@ def q_q5(spark, d):
     return _rounded(Q.infer_schema(g, 20), ["presence"])
 
 
+_DOMAINS = {"customer": ["c_name", "c_mktsegment"]}
+
+
+@register("string_domains", " UNION ALL ".join(
+    f"SELECT '{c}' AS column, {c} AS value, count(*) AS count FROM customer WHERE {c} IS NOT NULL GROUP BY {c}" for c in _DOMAINS["customer"]))
+def q_q5_rows(spark, d):
+    """Q5: every value of the text columns with its count, one row each."""
+    return Q.domains(table(spark, d, "customer").select(*_DOMAINS["customer"]))
+
+
 _CUT = "TIMESTAMP '1998-01-01'"
 
 

@@ -240,7 +240,7 @@ def check_trie(spark, rows, few=64, extra=""):
     return got
 
 
-@pytest.mark.parametrize("few", [0, 2, 64])
+@pytest.mark.parametrize("few", [0, 3])
 def test_trie_cases(spark, few):
     rows = [(0, 0, "user", "hi there"), (0, 1, "assistant", "yes"), (0, 2, "user", "go on then"), (1, 0, "user", "hi there"), (1, 1, "assistant", "yes"),
             (2, None, "user", "first"), (2, 5, None, None), (2, 5, None, None), (3, 0, "user", "x"), (23, 0, "a", "b"), (23, 1, "", ""), (44, 0, "q", "r s"),
@@ -265,11 +265,11 @@ def test_trie_of_empty_and_single_tables(spark):
 
 
 def test_trie_crosses_blocks_and_has_hot_conversations(spark):
-    # Conversation ids that lend nothing; 150 share 130 turns, 400 are equal, one is very long.
-    long = [("user", f"turn {i}") for i in range(130)]
+    # 150 share 70 turns, 400 are equal, one is very long.
+    long = [("user", f"turn {i}") for i in range(70)]
     convs = {20 * i + 1: long + [("assistant", f"own {i} {j}") for j in range(i % 4)] for i in range(150)}
-    convs |= {20 * i + 3: long[:90] for i in range(200, 600)}
-    convs |= {99_999: long[:70] + [("user", f"far {i}") for i in range(700)]}
+    convs |= {20 * i + 3: long[:66] for i in range(200, 600)}
+    convs |= {99_999: long[:50] + [("user", f"far {i}") for i in range(400)]}
     rows = [(c, i, r, x) for c, turns in convs.items() for i, (r, x) in enumerate(turns)]
     df = conversations(spark, rows)
     for few in (3, 64):

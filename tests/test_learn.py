@@ -43,8 +43,8 @@ def accuracy(df):
 
 def test_rbf_machine_parts_rings_that_a_line_cannot(spark, tmp_path):
     df = rings(spark)
-    line = learn.fit_pipeline([learn.estimator("svm", 400, C=10)], df)
-    ring = learn.fit_pipeline([learn.estimator("svm", 400, C=10, kernel="rbf", n_features=64)], df)
+    line = learn.fit_pipeline([learn.estimator("svm", 400, C=10, maxIter=12)], df)
+    ring = learn.fit_pipeline([learn.estimator("svm", 400, C=10, kernel="rbf", n_features=64, maxIter=12)], df)
     assert accuracy(line.transform(df)) < 0.75 and accuracy(ring.transform(df)) > 0.97
     # The drawn map travels with the saved model.
     path = str(tmp_path / "model")
@@ -97,7 +97,7 @@ def test_grid_points_that_fit_the_same_are_fitted_once(spark):
 
 def test_grid_search_prefers_the_rbf_kernel_on_rings(spark):
     df = rings(spark, 150)
-    model, scores = learn.grid_scores(df, "svm", {"C": [10], "kernel": ["linear", "rbf"], "gamma": ["scale", "auto"]}, fold_col="fold")
+    model, scores = learn.grid_scores(df, "svm", {"C": [10], "kernel": ["linear", "rbf"], "gamma": ["scale", "auto"], "maxIter": [6]}, fold_col="fold")
     by = {(p["kernel"], p["gamma"]): m for p, m in scores}
     assert by["linear", "scale"] == by["linear", "auto"] < 0.8 < 0.95 < max(by["rbf", "scale"], by["rbf", "auto"])
     assert accuracy(model.transform(df)) > 0.95

@@ -51,7 +51,7 @@ def test_entry_smoke(spark):
 E.queries()  # registers every module
 # The library's own queries; those of the optional subpackage have their own tests.
 FAST = [n for n in Q.QUERIES if n not in {"fixed_param_classifiers", "tune_logistic_cv", "sensitivity_curve",
-                                           "lda_projection", "isolation_forest_outliers", "permutation_importance", "svm_grid", "best_model_kept"}]
+                                           "lda_projection", "isolation_forest_outliers", "permutation_importance", "svm_grid", "forest_grid", "best_model_kept"}]
 
 
 @pytest.mark.parametrize("name", FAST)

@@ -39,3 +39,23 @@ def test_folds_balanced(spark):
     f = D.stratified_folds(df, "label", "k", 3)
     sizes = sorted(r[0] for r in f.groupBy("label", "fold").count().select("count").collect())
     assert sizes == [5] * 6
+
+
+def test_cuts_take_one_histogram_and_repeated_keys_raise(spark):
+    import pytest
+    df = spark.range(3000).withColumnRenamed("id", "k")
+    hist = D._histogram(df.withColumn("u", D.hash_u("k")), "u", D.U_BITS - 16)
+    assert sum(r["n"] for r in hist) == 3000
+    d = df.withColumn("u", D.hash_u("k"))
+    for k in (0, 1234, 2999, 3000):
+        assert D.rank_cut(d, "u", "k", k, histogram=hist) == D.rank_cut(d, "u", "k", k, bits=5, exact_rows=20)
+    with pytest.raises(ValueError, match="repeats"):
+        D.train_test(df.unionByName(df.limit(1)), "k")
+    with pytest.raises(ValueError, match="repeats"):
+        D.train_test(df.limit(3).select(F.when(F.col("k") > 5, F.col("k")).alias("k")), "k")
+
+
+def test_rebalance_counts_two_groups_only(spark):
+    df = spark.createDataFrame([(i, "abcd"[min(i // 10, 3)]) for i in range(70)], "k long, g string")
+    out = D.rebalance(df, "g", "d", "a", "b", "k")
+    assert {r["g"]: r["count"] for r in out.groupBy("g").count().collect()} == {"a": 10, "b": 10, "c": 10, "d": 10}
