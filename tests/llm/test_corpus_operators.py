@@ -552,7 +552,8 @@ def test_pipeline_stages_on_odd_rows(spark, sf):
 def test_every_dealt_query_is_registered():
     assert [n for n in sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [
         "op1_pii_pseudonyms", "op2_toxicity", "op3_quality_classifier", "op4_line_dedup", "op5_html_main_text", "op6_chat_format",
-        "op7_learned_partitions", "op8_piece_encode", "op9_simhash_near_dedup", "op10_benchmark_decontamination"]
+        "op7_learned_partitions", "op8_piece_encode", "op9_simhash_near_dedup", "op10_benchmark_decontamination",
+        "op11_prefix_trie", "op12_fill_in_middle", "op13_exact_dedup"]
     assert piece_bpe.load(queries.model_path()) is piece_bpe.load(queries.model_path())
 
 
