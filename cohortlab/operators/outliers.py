@@ -127,6 +127,13 @@ def step_function(tree, c_factor) -> tuple[np.ndarray, np.ndarray]:
     return np.array(cuts), np.array(lengths)
 
 
+def mean_steps(trees: Sequence[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The mean of step functions as one step function, so a value is looked up once instead of once a tree."""
+    cuts = np.unique(np.concatenate([c for c, _ in trees])) if trees else np.zeros(0)
+    at = np.concatenate([[-np.inf], cuts])
+    return cuts, sum(lengths[np.searchsorted(own, at, side="right")] for own, lengths in trees) / max(1, len(trees))
+
+
 def isolation_scores(df: DataFrame, column: str, n_trees: int = 100, sample_size: int = 256,
                      seed: int = 42) -> DataFrame:
     """X3 support: isolation-forest anomaly score of one numeric column, as ``__score``."""
@@ -181,13 +188,13 @@ def isolation_scorer(df: DataFrame, column: str, n_trees: int = 100, sample_size
         arr = np.asarray(vals, dtype=float)
         forest.append(grow(arr, 0, int(np.ceil(np.log2(max(len(arr), 2))))))
     psi = min(sample_size, n)
-    bc = spark.sparkContext.broadcast(([step_function(t, c_factor) for t in forest], c_factor(psi)))
+    bc = spark.sparkContext.broadcast((mean_steps([step_function(t, c_factor) for t in forest]), c_factor(psi)))
 
     @F.pandas_udf("double")
     def score(v: pd.Series) -> pd.Series:
-        steps, cn = bc.value
+        (cuts, lengths), cn = bc.value
         vals = v.to_numpy(dtype=float, na_value=np.nan)
-        h = sum(lengths[np.searchsorted(cuts, vals, side="right")] for cuts, lengths in steps) / len(steps)
+        h = lengths[np.searchsorted(cuts, vals, side="right")]
         return pd.Series(np.where(np.isnan(vals), np.nan, 2.0 ** (-h / cn) if cn > 0 else 0.5))
 
     return score(x)

@@ -218,3 +218,12 @@ def test_isolation_forest_scores_columns_from_the_input(spark):
     one = outliers.isolation_forest_to_median(df, ["b"], 0.005, n_trees=30).collect()
     assert sorted(r["b"] for r in one) == sorted(r["b"] for r in out)  # columns do not depend on each other
     assert outliers.isolation_forest_to_median(df.limit(0), ["a"]).count() == 0
+
+
+def test_mean_of_step_functions():
+    rng = np.random.default_rng(5)
+    trees = [(np.sort(rng.normal(size=n)), rng.normal(size=n + 1)) for n in (0, 1, 7, 30)]
+    cuts, lengths = outliers.mean_steps(trees)
+    v = np.concatenate([rng.normal(size=200) * 2, cuts])
+    want = sum(h[np.searchsorted(c, v, side="right")] for c, h in trees) / 4
+    assert np.allclose(lengths[np.searchsorted(cuts, v, side="right")], want)
