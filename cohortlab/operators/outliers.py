@@ -153,16 +153,16 @@ def isolation_scorer(df: DataFrame, column: str, n_trees: int = 100, sample_size
     n = df.where(x.isNotNull()).count()
     if n == 0:
         return F.lit(None).cast("double")
-    # One pass for all trees: a row joins tree t when its hash under seed t
-    # falls below ~1.5 * sample_size / n; per tree the smallest hashes are
-    # kept. Expected work per row is 1.5 * n_trees * sample_size / n.
-    # Hashes cover the whole row, so copies of one value are drawn one by one.
-    thr = hash_threshold(n, sample_size)
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    picked = (df.where(x.isNotNull()).select(x.alias("v"), F.xxhash64(*df.columns).alias("row"))
-                .withColumn("t", F.explode(F.filter(
-                    trees, lambda t: F.shiftrightunsigned(F.xxhash64(F.col("row"), F.lit(seed) + t), 1) < F.lit(thr))))
-                .withColumn("h", F.xxhash64(F.col("row"), F.lit(seed) + F.col("t"))))
+    # One pass for all trees, one hash a row: trees own arcs of a circle, each long enough for about 1.5 * sample_size
+    # of the n rows, and a row joins the trees whose arcs cover its place. Per tree the smallest of other hashes are kept.
+    # Hashes cover the whole row: equal rows are drawn together, equal values of different rows one by one.
+    width = hash_threshold(n, sample_size) / 2 ** 63 * n_trees
+    place = F.shiftrightunsigned(F.xxhash64("row", F.lit(seed)), 1).cast("double") / F.lit(2.0 ** 63) * n_trees
+    first = F.greatest(F.floor(F.col("place") - F.lit(width)) + 1, F.floor("place") - F.lit(n_trees - 1))
+    picked = (df.where(x.isNotNull()).select(x.alias("v"), F.xxhash64(*df.columns).alias("row")).withColumn("place", place)
+              .where(first <= F.floor("place"))
+              .withColumn("t", F.explode(F.sequence(first, F.floor("place")))).withColumn("t", F.pmod("t", F.lit(n_trees)))
+              .withColumn("h", F.xxhash64("row", F.lit(seed) + F.col("t"))))
     from pyspark.sql import Window
     w = Window.partitionBy("t").orderBy("h")
     picked = picked.withColumn("r", F.row_number().over(w)).where(F.col("r") <= sample_size)

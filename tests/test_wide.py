@@ -227,3 +227,11 @@ def test_mean_of_step_functions():
     v = np.concatenate([rng.normal(size=200) * 2, cuts])
     want = sum(h[np.searchsorted(c, v, side="right")] for c, h in trees) / 4
     assert np.allclose(lengths[np.searchsorted(cuts, v, side="right")], want)
+
+
+def test_every_tree_gets_a_sample(spark):
+    for n in (3, 300, 20_000, 400_000):
+        df = spark.range(n).select(F.when(F.col("id") < 3, 1e6).otherwise(F.col("id") % 100).cast("double").alias("v"), "id")
+        scored = df.withColumn("s", outliers.isolation_scorer(df, "v", n_trees=20))
+        far, near = (scored.where(c).agg(F.avg("s")).first()[0] for c in ("v > 1000", "v between 40 and 60"))
+        assert far > 0 and (near is None or far > near)
