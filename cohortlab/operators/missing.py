@@ -178,11 +178,11 @@ def fit_strategy(df: DataFrame, strategy: Mapping[str, object],
     skipped; anything else raises ``ValueError``.
     """
     if not isinstance(strategy, Mapping):
-        raise ValueError("Strategy must be a dictionary")
+        raise ValueError("fills are given as a mapping of column to method")
     known = {c: m for c, m in strategy.items() if c in df.columns}
     for c, m in known.items():
         if not (m == "median" or (m == "constant" and constant_value is not None) or callable(m)):
-            raise ValueError(f"Invalid strategy '{m}' for column '{c}'")
+            raise ValueError(f"column {c}: no way to fill by {m!r}")
     stat_cols = [c for c, m in known.items() if m == "median" or callable(m)]
     st = column_stats(df, stat_cols, ["min", "max", "mean"], quantiles=[0.5]) if stat_cols else {}
     values, exprs = {}, {}
@@ -198,15 +198,12 @@ def fit_strategy(df: DataFrame, strategy: Mapping[str, object],
     return FittedFill(values, exprs)
 
 
-def handle_missing_values(df: DataFrame, identify_only: bool = False,
-                          drop_threshold: float | None = None, strategy=None,
-                          constant_value=None):
-    """The combined handler of the reference's tests (M3 + M7/M8 + M9)."""
+def clean_missing(df: DataFrame, max_null_share: float | None = None, fills: Mapping[str, object] | None = None,
+                  fill_value=None) -> DataFrame:
+    """M3, then M8 with the ``fills`` of a column or, without any, M7: empty columns go (and those with a larger share of nulls
+    than ``max_null_share``), the gaps of the others are filled. To count nulls only: ``null_counts``."""
     if not isinstance(df, DataFrame):
-        raise TypeError("Input must be a Spark DataFrame")
-    if identify_only:
-        return null_counts(df)
-    out = drop_empty_columns(df, drop_threshold)
-    if strategy is not None:
-        return fit_strategy(out, strategy, constant_value).transform(out)
-    return fit_mean_mode(out).transform(out)
+        raise TypeError(f"a DataFrame is needed, not {type(df).__name__}")
+    left = drop_empty_columns(df, max_null_share)
+    fit = fit_mean_mode(left) if fills is None else fit_strategy(left, fills, fill_value)
+    return fit.transform(left)

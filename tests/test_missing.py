@@ -3,6 +3,7 @@ import pytest
 
 from cohortlab.operators import missing as M
 
+# The data of the reference's specification.
 COLS = "AV133STDY double, TAUSTDY double, GAITSTDY double, PISTDY double, NP4DYSTN double, NP4TOT double"
 ROWS = [(1.0, None, 1.0, None, 1.0, 10.0), (None, 2.0, 2.0, None, 2.0, None), (3.0, None, 3.0, None, None, 30.0),
         (None, 4.0, 4.0, None, 4.0, None), (5.0, 5.0, None, None, 5.0, 50.0)]
@@ -14,12 +15,12 @@ def data(spark):
 
 
 def test_identify(data):
-    n = M.handle_missing_values(data, identify_only=True)
+    n = M.null_counts(data)
     assert n == {"AV133STDY": 2, "TAUSTDY": 2, "GAITSTDY": 1, "PISTDY": 5, "NP4DYSTN": 1, "NP4TOT": 2}
 
 
 def test_default_handling(data):
-    out = M.handle_missing_values(data)
+    out = M.clean_missing(data)
     assert "PISTDY" not in out.columns
     means = out.agg(*[__import__("pyspark.sql.functions", fromlist=["avg"]).avg(c).alias(c)
                       for c in ["AV133STDY", "TAUSTDY", "GAITSTDY"]]).first()
@@ -30,7 +31,7 @@ def test_default_handling(data):
 
 
 def test_threshold(data):
-    out = M.handle_missing_values(data, drop_threshold=0.5)
+    out = M.clean_missing(data, max_null_share=0.5)
     assert "PISTDY" not in out.columns and "AV133STDY" in out.columns
 
 
@@ -38,7 +39,7 @@ def test_strategy(data):
     from pyspark.sql import functions as F
     strategy = {"AV133STDY": "median", "TAUSTDY": "constant",
                 "GAITSTDY": lambda col, st: F.coalesce(col, F.lit(st["min"]))}
-    out = M.handle_missing_values(data, strategy=strategy, constant_value=100)
+    out = M.clean_missing(data, fills=strategy, fill_value=100)
     assert out.agg(F.median("AV133STDY")).first()[0] == 3.0
     assert [r[0] for r in out.select("TAUSTDY").collect()] == [100.0, 2.0, 100.0, 4.0, 5.0]
     assert out.agg(F.min("GAITSTDY")).first()[0] == 1.0
@@ -46,9 +47,9 @@ def test_strategy(data):
 
 def test_errors(data):
     with pytest.raises(ValueError):
-        M.handle_missing_values(data, strategy="invalid_strategy")
+        M.clean_missing(data, fills="invalid_strategy")
     with pytest.raises(TypeError):
-        M.handle_missing_values("not_a_dataframe")
+        M.clean_missing("not_a_dataframe")
 
 
 def test_drop_sparse_strict(data):

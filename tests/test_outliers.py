@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.operators import outliers as X
 
+# The data of the reference's specification.
 COLS = "NP3TOT int, NP2SPCH int, NP1DPRS int, ENROLL_AGE int, COHORT int"
 DATA = list(zip([20, 25, 22, 100, 24, 23, 21, 150, 26, 200], [1, 2, 1, 15, 2, 1, 2, 20, 1, 2],
                 [2, 3, 2, 20, 3, 2, 3, 25, 2, 30], [65, 70, 68, 150, 67, 71, 69, 25, 72, 200], [1] * 10))
