@@ -87,9 +87,9 @@ def q_l8(spark, d):
     """The two indicators that the rule names lead the importances, which add up to one."""
     model = L.estimator("random_forest", n_estimators=100, max_depth=10).fit(checkpointed(_rows(spark, d)).coalesce(1))
     each = L.feature_importance(model, NAMES, len(NAMES), spark)
-    total = each.agg(F.round(F.sum("importance"), 6).alias("total"), F.count(F.lit(1)).cast("int").alias("n_features"))
+    total = each.agg(F.round(F.sum("importance"), 6).alias("total"), F.count(F.lit(1)).cast("int").alias("n_features")).first()
     lead = R.top_k(each, "importance", 2, ["feature"])
-    return lead.select("feature", F.lit(2).alias("n_leading")).crossJoin(F.broadcast(total))  # one row
+    return lead.select("feature", F.lit(2).alias("n_leading"), F.lit(total["n_features"]).alias("n_features"), F.lit(total["total"]).alias("total"))
 
 
 @register("rule_permutation_importance", """
@@ -134,13 +134,12 @@ def q_x3(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col(c), F.col(c).alias("was"))
     new = checkpointed(isolation_forest_to_median(li, [c], 0.1))
     change = F.col(c) != F.col("was")
-    med = new.where(change).agg(F.max(c).alias("m"))
-    ends = new.agg(F.min("was").alias("lo"), F.max("was").alias("hi"))
-    each = new.crossJoin(F.broadcast(med)).crossJoin(F.broadcast(ends))  # one row each
-    return each.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(change & (F.col(c) != F.col("m"))).cast("int").alias("n_other"),
+    one = new.agg(F.max(F.when(change, F.col(c))).alias("m"), F.min("was").alias("lo"), F.max("was").alias("hi")).first()
+    m, ends = F.lit(one["m"]), [one["lo"], one["hi"]]
+    return new.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(change & (F.col(c) != m)).cast("int").alias("n_other"),
                     (F.count_if(change) <= F.count(F.lit(1)) * 0.1).alias("at_most_a_tenth"),
-                    (F.count_if(F.col("was").isin(F.col("lo"), F.col("hi")) & ~change) == 0).alias("extremes_gone"),
-                    F.round(F.max("m"), 6).alias("median")).select(F.lit(c).alias("name"), "*")
+                    (F.count_if(F.col("was").isin(ends) & ~change) == 0).alias("extremes_gone"),
+                    F.round(m, 6).alias("median")).select(F.lit(c).alias("name"), "*")
 
 
 @register("column_sets_checked", """
