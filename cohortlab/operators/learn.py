@@ -37,6 +37,8 @@ RF_F1_GRID = {"n_estimators": [50, 100, 150], "max_depth": [None, 10, 20], "min_
 SENSITIVITY_TREES = [10, 50, 100, 150, 200]
 # Rows that one task of an iterative fit holds at least.
 ROWS_PER_TASK = 10_000
+# Machines of one class against the rest that are fitted side by side.
+CLASSES_AT_ONCE = 4
 
 
 def spread(df: DataFrame, n: int | None = None, rows: int = ROWS_PER_TASK) -> DataFrame:
@@ -71,9 +73,9 @@ def estimator(kind: str, n_rows: int = 1, **p):
             raise ValueError(f"unknown kernel {kernel}")
         machine = LinearSVC(regParam=1.0 / (max(n_rows, 1) * p.get("C", 1.0)), maxIter=p.get("maxIter", 50))
         if kernel == "linear":
-            return OneVsRest(classifier=machine)
+            return OneVsRest(classifier=machine, parallelism=CLASSES_AT_ONCE)
         mapped = RbfFeatures(inputCol="features", outputCol="rbf", gamma=p.get("gamma", "scale"), numFeatures=p.get("n_features", 128), seed=42)
-        return Pipeline(stages=[mapped, OneVsRest(classifier=machine.setFeaturesCol("rbf"), featuresCol="rbf")])
+        return Pipeline(stages=[mapped, OneVsRest(classifier=machine.setFeaturesCol("rbf"), featuresCol="rbf", parallelism=CLASSES_AT_ONCE)])
     if kind == "random_forest":
         depth = p.get("max_depth") or 30
         return DeepForest(numTrees=p.get("n_estimators", 100), maxDepth=min(depth, 30),
@@ -81,7 +83,8 @@ def estimator(kind: str, n_rows: int = 1, **p):
     if kind == "xgboost":
         return OneVsRest(classifier=GBTClassifier(maxDepth=p.get("max_depth", 3), stepSize=p.get("learning_rate", 0.1),
                                                   maxIter=p.get("n_estimators", 50),
-                                                  subsamplingRate=p.get("subsample", 1.0), seed=42))
+                                                  subsamplingRate=p.get("subsample", 1.0), seed=42),
+                         parallelism=CLASSES_AT_ONCE)
     if kind == "logistic_regression":
         c = p.get("C", 1.0)
         return LogisticRegression(family="multinomial", elasticNetParam=0.0, regParam=1.0 / (max(n_rows, 1) * c),
