@@ -80,7 +80,8 @@ def _embeddings(spark, d):
 
 
 def _split(spark, d):
-    s = D.train_test(_embeddings(spark, d), "vec_id", 0.2, seed=42).cache()
+    # Iterative fits read the rows many times: kept in tasks of a bounded number of rows.
+    s = L.spread(D.train_test(_embeddings(spark, d), "vec_id", 0.2, seed=42)).cache()
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 
@@ -160,7 +161,7 @@ def q_v13_kept(spark, d):
     """Candidates are ranked on the validation rows by accuracy and fairness; the winner alone is scored on the
     test rows, saved, loaded again and logged. One row: its name, scores, and whether the saved model answers alike."""
     e = _embeddings(spark, d).withColumn("side", (F.col("embedding")[0] > 0).cast("int"))
-    s = checkpointed(D.train_val_test(e, "vec_id", seed=42)).coalesce(4)
+    s = checkpointed(L.spread(D.train_val_test(e, "vec_id", seed=42)))
     part = lambda name: s.where(F.col("split") == name)
     n = part("train").count()
     kinds = {"Logistic Regression": {"kind": "logistic_regression", "maxIter": 50}, "Random Forest": {"kind": "random_forest", "n_estimators": 50, "max_depth": 10}}
