@@ -37,13 +37,13 @@ LOCAL_ROWS, BLOCK_ROWS = 200_000, 5_000
 PAIRS_PER_TASK = 100_000
 
 
-def _checked(rows: pd.Series, width: int | None = None) -> np.ndarray:
-    """The feature arrays as a matrix; null vectors, NaN and other sizes raise."""
+def _checked(rows: pd.Series, width: int, fit: bool = True) -> np.ndarray:
+    """The feature arrays as a matrix; null vectors and other sizes raise, in a fit also NaN and infinity."""
     if rows.isna().any():
         raise ValueError("features must not be null")
-    x = np.vstack(rows.to_list()).astype("float64") if len(rows) else np.empty((0, width or 0))
-    if np.isnan(x).any() or (width is not None and x.shape[1] != width):
-        raise ValueError(f"features must be {width or 'some'} numbers without NaN")
+    x = np.vstack(rows.to_list()).astype("float64") if len(rows) else np.empty((0, width))
+    if x.shape[1] != width or (fit and not np.isfinite(x).all()):
+        raise ValueError(f"features must be {width} finite numbers")
     return x
 
 
@@ -177,7 +177,7 @@ class _ForestParams(HasFeaturesCol, HasLabelCol, HasSeed):
 
 
 class DeepForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Fits the forest; labels are whole numbers from 0, features hold no nulls and no NaN."""
+    """Fits the forest; labels are whole numbers from 0, features are finite."""
 
     @keyword_only
     def __init__(self, *, featuresCol="features", labelCol="label", seed=42, numTrees=20, maxDepth=5, minInstancesPerNode=1):
@@ -352,7 +352,7 @@ class DeepForestModel(Model, _ForestParams, MLReadable, MLWritable):
         def votes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             trees, cuts, k = sent.value
             for batch in batches:
-                x = _binned(_checked(batch, len(cuts)), cuts) if len(batch) else np.empty((0, len(cuts)), "uint8")
+                x = _binned(_checked(batch, len(cuts), fit=False), cuts)
                 got, kept = np.zeros((len(x), k)), {}
                 for i, t in enumerate(trees[:max(sizes)], 1):
                     at, open_ = np.zeros(len(x), dtype="int64"), np.arange(len(x))

@@ -108,3 +108,13 @@ def test_permuted_rows_are_scored_in_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(learn, "ROWS_PER_TASK", 100)
     assert dict(learn.permutation_importance(Watched(), rows, ["a", "b"]).collect())["b"] == 0.0
     assert tasks[0] >= 10
+
+
+def test_numbers_that_are_not_finite(spark):
+    rows = [(i, i % 2, [float(i % 2)]) for i in range(40)]
+    df = learn.with_vector(spark.createDataFrame(rows, "id long, label int, a array<double>"), "a")
+    odd = learn.with_vector(spark.createDataFrame([(0, [float("nan")]), (1, [float("-inf")])], "id long, a array<double>"), "a")
+    with pytest.raises(Exception, match="finite"):
+        forest.DeepForest(numTrees=3).fit(odd.withColumn("label", F.lit(1)))
+    # As in Spark's trees, NaN is above every cut.
+    assert said(forest.DeepForest(numTrees=9).fit(df), odd) == {0: 1.0, 1: 0.0}
