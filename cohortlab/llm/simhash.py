@@ -127,7 +127,8 @@ def near_links(fps: DataFrame, radius: int = 4, block: int = 2048) -> DataFrame:
     while True:
         keyed = dealt.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
         sizes = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
-        full = checkpointed(keyed.join(sizes, ["mask", "key"]))
+        # Spark sizes both sides by the fingerprints before they are dealt to the masks: unhinted, it would broadcast them 31 times as large.
+        full = checkpointed(keyed.join(sizes.hint("merge"), ["mask", "key"]))
         last = all(BITS - m.bit_count() <= 8 for m in masks)
         cold = full if last else full.where(F.col("n") <= block)
         found = arrow_map(cold.groupBy("mask", "key").agg(F.collect_list("fp").alias("fps")).select("fps"), run, "u long, v long")

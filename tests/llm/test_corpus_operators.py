@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -587,3 +588,19 @@ def test_learning_rows_that_repeat_an_id_count_once(spark, sf):
     once = {(r["doc_id"], round(r["score"], 9)) for r in toxicity.classify(src, labels).collect()}
     twice = toxicity.classify(src.unionByName(src), labels).collect()
     assert {(r["doc_id"], round(r["score"], 9)) for r in twice} == once and len(twice) == 2 * len(once)
+
+
+# ---------------------------------------------------------------- joins of exploded rows
+
+def joins_of(df, keys):
+    """The kinds of the joins by ``keys`` that ran for ``df``."""
+    return set(re.findall(rf"(\w+Join) \[{keys}", re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())))
+
+
+def test_dealt_fingerprints_are_never_broadcast(spark, monkeypatch):
+    """Spark sizes them as before they are dealt to 31 masks; this table is small enough to be broadcast by that size."""
+    seen, kept = [], simhash.checkpointed
+    monkeypatch.setattr(simhash, "checkpointed", lambda df: seen.append(df) or kept(df))
+    fps = spark.createDataFrame([(7,), (6,), (0xFFFF << 40,)], "fp long").groupBy("fp").count().select("fp")
+    assert {frozenset(r) for r in simhash.near_links(fps).collect()} == {frozenset((6, 7))}
+    assert joins_of(seen[0], "mask, key") == {"SortMergeJoin"}
