@@ -69,8 +69,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hot = (lines.groupBy("h1", "h2", "id").agg(F.lit(1).alias("one"))
            .groupBy("h1", "h2").agg(F.count("*").alias("n_docs"))
            .where(F.col("n_docs") >= min_docs).select("h1", "h2"))
-    # A hot line stands in very many documents: they are dealt over SALTS tasks, and the few hot keys go to each.
-    salted = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # A hot line stands in very many documents: they are dealt over SALTS tasks, and the few hot keys go to each. Spark sizes
+    # them by the keys before they are dealt: unhinted, it may broadcast them SALTS times as large.
+    salted = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
     dropped = (lines.withColumn("salt", F.pmod(F.xxhash64("id", "mark"), F.lit(SALTS)).cast("int")).join(salted, ["h1", "h2", "salt"])
                .groupBy("id", "mark").agg(F.collect_set("pos").alias(drop)))
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlab.llm import ann, decontaminate, graph, html_blocks, piece_bpe, quality, queries, simhash, toxicity
+from cohortlab.llm import ann, decontaminate, graph, html_blocks, line_dedup, piece_bpe, quality, queries, simhash, toxicity
 
 
 def docs(spark, rows, extra=""):
@@ -604,3 +604,10 @@ def test_dealt_fingerprints_are_never_broadcast(spark, monkeypatch):
     fps = spark.createDataFrame([(7,), (6,), (0xFFFF << 40,)], "fp long").groupBy("fp").count().select("fp")
     assert {frozenset(r) for r in simhash.near_links(fps).collect()} == {frozenset((6, 7))}
     assert joins_of(seen[0], "mask, key") == {"SortMergeJoin"}
+
+
+def test_dealt_keys_of_lines_are_never_broadcast(spark):
+    """Spark sizes them as before they are dealt to 32 salts."""
+    out = line_dedup.dedup_lines(docs(spark, [(i, f"own {i}\nsame") for i in range(12)]))
+    assert {(r["text"], r["n_dropped"]) for r in out.collect()} == {(f"own {i}", 1) for i in range(12)}
+    assert joins_of(out, "h1, h2, salt") == {"SortMergeJoin"}
