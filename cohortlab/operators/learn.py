@@ -10,6 +10,7 @@ from __future__ import annotations
 import itertools
 import math
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -20,8 +21,9 @@ from pyspark.ml.param import Params
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
-from cohortlab.operators.forest import DeepForest, prediction_of
+from cohortlab.operators.forest import PAIRS_PER_TASK, DeepForest, prediction_of
 from cohortlab.operators.kernel import RbfFeatures
 from cohortlab.session import checkpointed
 
@@ -39,6 +41,8 @@ SENSITIVITY_TREES = [10, 50, 100, 150, 200]
 ROWS_PER_TASK = 10_000
 # Machines of one class against the rest that are fitted side by side.
 CLASSES_AT_ONCE = 4
+# Bytes of trees that a forest of a grid has on the driver at most.
+FOREST_HELD = 8 << 20
 
 
 def spread(df: DataFrame, n: int | None = None, rows: int = ROWS_PER_TASK) -> DataFrame:
@@ -115,6 +119,7 @@ def grid_scores(train: DataFrame, kind: str, grid: dict, folds: int = 3, metric:
 
     ``fold_col`` (D6 stratified folds) keeps the folds exact and reproducible; otherwise Spark's random folds.
     Points that fit the same are fitted once and share their metric. The best is the first of those with the largest.
+    Forests of one grid share their trees (``_forest_grid``).
     """
     points, same = grid_points(kind, grid, n := train.count())
     # A fit of many short iterations is bound by its task launches: a small table takes few tasks.
@@ -125,11 +130,51 @@ def grid_scores(train: DataFrame, kind: str, grid: dict, folds: int = 3, metric:
     ev = MulticlassClassificationEvaluator(metricName="f1" if metric == "f1" else "accuracy")
     cv = CrossValidator(estimator=base, estimatorParamMaps=maps, evaluator=ev, numFolds=folds,
                         parallelism=parallelism, seed=42, **({"foldCol": fold_col} if fold_col else {}))
+    if kind == "random_forest":
+        model, metrics = _forest_grid([m[base.stages][0] for m in maps], train, cv, ev, parallelism)
+        got = dict(zip(unique, metrics))
+        return model, [(pt, float(got[i])) for pt, i in zip(points, same)]
     model = cv.fit(train)
     got = dict(zip(unique, model.avgMetrics))
     return model.bestModel, [(pt, float(got[i])) for pt, i in zip(points, same)]
 
 
+def _forest_grid(forests: list[DeepForest], train: DataFrame, cv: CrossValidator, ev, parallelism: int) -> tuple[PipelineModel, list[float]]:
+    """What ``cv`` finds for these forests: the first best, fitted to all rows, and the mean metric of each.
+
+    Trees hang on (seed, number) only and are cut by a bound on their levels, so forests that differ in the number of trees and
+    levels are parts of the largest of them: for each least size of a leaf and fold one forest is grown, and one pass over it
+    scores all. Trees of more than ``FOREST_HELD`` bytes never come to the driver, however many fits run side by side."""
+    spark = train.sparkSession
+    alike: dict[int, list[int]] = {}
+    for i, f in enumerate(forests):
+        alike.setdefault(f.getOrDefault("minInstancesPerNode"), []).append(i)
+
+    def fold(job: tuple) -> list[tuple[int, float]]:
+        members, (fit_rows, val) = job
+        sizes, depths = (sorted({forests[i].getOrDefault(p) for i in members}) for p in ("numTrees", "maxDepth"))
+        largest = forests[members[0]].copy()._set(numTrees=sizes[-1], maxDepth=depths[-1])
+        model = largest.grown(fit_rows.select("label", "features"), tuple(depths[:-1]), FOREST_HELD)
+        votes = model.votes(val.select("label", "features"), sizes, "__votes", tuple(depths[:-1]))
+        k = model.numClasses
+        place = {(d, t): (a * len(sizes) + b) * k + 1 for a, d in enumerate(depths) for b, t in enumerate(sizes)}
+        at = {i: place[forests[i].getOrDefault("maxDepth"), forests[i].getOrDefault("numTrees")] for i in members}
+        scored = checkpointed(votes.select(F.col("label").cast("double").alias("label"), *[prediction_of(F.slice("__votes", at[i], k)).alias(f"p{i}") for i in members]))
+        return [(i, ev.evaluate(scored.select("label", F.col(f"p{i}").alias("prediction")))) for i in members]
+
+    folds = [tuple(d.cache() for d in pair) for pair in cv._kFold(train)]
+    jobs = [(members, pair) for members in alike.values() for pair in folds]
+    # A fit that fills the cluster by itself has it to itself.
+    pairs = train.count() * max(f.getOrDefault("numTrees") for f in forests)
+    with ThreadPool(1 if pairs > 2 * PAIRS_PER_TASK * spark.sparkContext.defaultParallelism else min(parallelism, len(jobs))) as pool:
+        found = [x for got in pool.map(inheritable_thread_target(spark)(fold), jobs, chunksize=1) for x in got]
+    for d in (d for pair in folds for d in pair):
+        d.unpersist()
+    metrics = [sum(v for j, v in found if j == i) / len(folds) for i in range(len(forests))]
+    best = forests[metrics.index(max(metrics))].grown(train, held=FOREST_HELD)
+    return PipelineModel(stages=[best]), metrics
+
+
 def grid_search(train: DataFrame, kind: str, grid: dict, folds: int = 3, metric: str = "accuracy",
                 fold_col: str | None = None, parallelism: int = 4):
     """``grid_scores`` as (best model, best point, metrics of all points)."""

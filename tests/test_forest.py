@@ -118,3 +118,54 @@ def test_numbers_that_are_not_finite(spark):
         forest.DeepForest(numTrees=3).fit(odd.withColumn("label", F.lit(1)))
     # As in Spark's trees, NaN is above every cut.
     assert said(forest.DeepForest(numTrees=9).fit(df), odd) == {0: 1.0, 1: 0.0}
+
+
+def said_by(df, col="v"):
+    return {r["id"]: list(r[col]) for r in df.select("id", col).collect()}
+
+
+@pytest.mark.parametrize("local", [100, 10**9])
+def test_trees_that_outgrow_the_driver_stay_a_table(spark, monkeypatch, tmp_path, local):
+    df = board(spark, 400)
+    for name, v in (("LOCAL_ROWS", local), ("BLOCK_ROWS", 64), ("GROUP_BYTES", 2_000)):
+        monkeypatch.setattr(forest, name, v)
+    est = forest.DeepForest(numTrees=6, maxDepth=8, seed=42)
+    held, apart = est.grown(df, (1, 4), 1 << 30), est.grown(df, (1, 4), 100)
+    want = said_by(held.votes(df, [2, 6], "v", (1, 4)))
+    rows = df.withColumn("__row", F.lit(1)).withColumn("votes", F.lit(2)).unionByName(df.limit(0).withColumn("__row", F.lit(1)).withColumn("votes", F.lit(2)))
+    got = apart.votes(rows, [2, 6], "v", (1, 4))
+    assert said_by(got) == want and got.columns == [*rows.columns, "v"] and got.select("__row", "votes").distinct().collect() == [(1, 2)]
+    assert apart.featureImportances == held.featureImportances and said(apart, df) == said(held, df)
+    assert apart.transform(df.limit(0)).count() == 0
+    # Cut trees are the trees of forests of fewer levels.
+    for i, depth in enumerate((1, 4, 8)):
+        for j, t in enumerate((2, 6)):
+            alone = said_by(forest.DeepForest(numTrees=t, maxDepth=depth, seed=42).fit(df).votes(df, [t], "v"))
+            assert all(v[(2 * i + j) * 3:(2 * i + j + 1) * 3] == alone[k] for k, v in want.items())
+    path = str(tmp_path / "forest")
+    apart.write().overwrite().save(path)
+    again = forest.DeepForestModel.load(path)
+    assert said(again, df) == said(apart, df)
+    # Nothing of all that has brought the trees to the driver.
+    assert again._trees is None and apart._trees is None
+
+
+def test_forest_grid_scores_every_point_as_its_own_fit(spark, monkeypatch):
+    df = board(spark, 300).withColumn("fold", (F.col("id") % 3).cast("int")).coalesce(1)  # as a grid search does: bags hang on the partitions
+    grid, fits, grown = {"n_estimators": [3, 5], "max_depth": [2, None], "min_samples_split": [2, 5], "min_samples_leaf": [1, 9]}, [], forest.DeepForest.grown
+
+    def watched(self, rows, levels=(), held=None):
+        fits.append(held)
+        return grown(self, rows, levels, held)
+
+    monkeypatch.setattr(forest.DeepForest, "grown", watched)
+    monkeypatch.setattr(learn, "FOREST_HELD", 0)
+    model, scores = learn.grid_scores(df, "random_forest", grid, folds=3, fold_col="fold")
+    # One forest for a leaf size and fold, the best again on all rows; none may keep its trees on the driver.
+    assert fits == [0] * 7 and len(scores) == 16 and model.stages[0]._trees is None
+    for point, got in scores:
+        if tuple(point.values()) in ((3, None, 2, 1), (5, 2, 5, 9)):
+            each = [share(learn.estimator("random_forest", **point).fit(df.where(F.col("fold") != i)), df.where(F.col("fold") == i)) for i in range(3)]
+            assert abs(got - sum(each) / 3) < 1e-12
+    best = max(scores, key=lambda s: s[1])[0]  # the first of the best
+    assert said(model, df) == said(learn.estimator("random_forest", **best).fit(df), df)
